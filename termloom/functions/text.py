@@ -16,8 +16,10 @@ MAX_TOKEN_LENGTH = 255
 SIMPLE_LOWER = {"İ": "i", "Σ": "σ"}
 
 LETTER = r"[\p{L}\p{M}]"
-JOINS_LETTERS = f"[{MID_NUM_LET}{MID_LETTER}]"
-JOINS_DIGITS = f"[{MID_NUM_LET}{MID_NUM}]"
+# The general categories of all of these come first: one test rules out a space.
+JOINER = r"\p{Po}\p{Pi}\p{Pf}\p{Sm}"
+JOINS_LETTERS = f"[{JOINER}&&[{MID_NUM_LET}{MID_LETTER}]]"
+JOINS_DIGITS = f"[{JOINER}&&[{MID_NUM_LET}{MID_NUM}]]"
 
 # One separator character: neither part of a word, nor punctuation that joins
 # two letters or two digits.  No quantified group, so a hostile document cannot
@@ -27,7 +29,6 @@ SEPARATOR = (
     rf"(?<!{LETTER}{JOINS_LETTERS}(?={LETTER}))"
     rf"(?<!\p{{Nd}}{JOINS_DIGITS}(?=\p{{Nd}}))"
 )
-WORD_CHARACTER = r"[\p{L}\p{M}\p{Nd}]"
 IDEOGRAPH = r"([\x{2E80}-\x{3FFFF}&&[\p{IsHan}\p{IsHiragana}]]\p{M}*+)"
 LINE_BREAK = r"\r\n|\r|\n"
 
@@ -44,18 +45,23 @@ def lower_simple(text: Column) -> Column:
     return F.lower(text)
 
 
+def is_word(piece: Column) -> Column:
+    """What lies between separators is a word unless it is empty or underscores only."""
+    return F.ltrim(piece, F.lit("_")) != ""
+
+
 def tokenize(text: Column) -> Column:
     """Array of lower-cased word tokens in text order.
 
     Ideographs stand alone; tokens longer than the limit are cut into pieces.
     """
     spaced = F.regexp_replace(lower_simple(text), IDEOGRAPH, " $1 ")
-    words = F.filter(F.split(spaced, SEPARATOR), lambda w: w.rlike(WORD_CHARACTER))
+    words = F.filter(F.split(spaced, SEPARATOR), is_word)
 
     def chop(word: Column) -> Column:
         pieces = F.regexp_extract_all(word, F.lit(rf"(?s).{{1,{MAX_TOKEN_LENGTH}}}"), F.lit(0))
         return F.when(F.length(word) <= MAX_TOKEN_LENGTH, F.array(word)).otherwise(
-            F.filter(pieces, lambda p: p.rlike(WORD_CHARACTER))
+            F.filter(pieces, is_word)
         )
 
     return let(

@@ -154,28 +154,33 @@ def combine_term_stats(partials: list[DataFrame]) -> DataFrame:
     )
 
 
-def count_fields(documents: DataFrame, spec: IndexSpec) -> DataFrame:
-    """Per field with terms: doc_count, sum_total_term_freq, sum_doc_freq.
+def field_counters(spec: IndexSpec, field: str) -> dict[str, Column]:
+    """Aggregates over documents that describe one field with terms.
 
-    Reads the two counters kept beside each vector, not the vectors.
+    They read the two counters kept beside each vector, not the vectors.
     """
+    if field in spec.text:
+        length, n_terms = F.col(f"{field}.length"), F.col(f"{field}.n_terms")
+    else:
+        length = n_terms = F.col(field).isNotNull().cast("bigint")
+    return {
+        "doc_count": F.count_if(length > 0),
+        "sum_total_term_freq": F.coalesce(F.sum(length), F.lit(0)),
+        "sum_doc_freq": F.coalesce(F.sum(n_terms), F.lit(0)),
+    }
 
-    def counters(field: str) -> Column:
-        if field in spec.text:
-            length, n_terms = F.col(f"{field}.length"), F.col(f"{field}.n_terms")
-        else:
-            length = n_terms = F.col(field).isNotNull().cast("bigint")
-        return F.struct(
-            F.lit(field).alias("field"),
-            F.count_if(length > 0).alias("doc_count"),
-            F.sum(length).alias("sum_total_term_freq"),
-            F.sum(n_terms).alias("sum_doc_freq"),
-        ).alias(field)
-
-    one_row = documents.agg(*(counters(f) for f in spec.term_fields))
-    return one_row.select(F.inline(F.array(*(F.col(f) for f in spec.term_fields)))).filter(
-        F.col("sum_doc_freq") > 0
-    )
+
+def count_fields(documents: DataFrame, spec: IndexSpec) -> DataFrame:
+    """(field, doc_count, sum_total_term_freq, sum_doc_freq) of every field with terms."""
+    structs = [
+        F.struct(
+            F.lit(f).alias("field"),
+            *(value.alias(name) for name, value in field_counters(spec, f).items()),
+        ).alias(f)
+        for f in spec.term_fields
+    ]
+    one_row = documents.agg(*structs)
+    return one_row.select(F.inline(F.array(*spec.term_fields))).filter(F.col("sum_doc_freq") > 0)
 
 
 def build_index(docs: DataFrame, spec: IndexSpec) -> Index:
@@ -205,7 +210,7 @@ def with_document_frequency(index: Index, field: str, rows: DataFrame) -> DataFr
     bound = (index.vocabulary_bounds or {}).get(field)
     if bound is not None and bound <= BROADCAST_ROWS:
         return rows.join(F.broadcast(stats), "term")
-    total = stats.agg(F.sum("df")).scalar()
+    total = index.field_counts.filter(F.col("field") == field).select("sum_doc_freq").scalar()
     frequent = F.col("df") * BROADCAST_ROWS > total
     hot, cold = stats.filter(frequent), stats.filter(~frequent)
     near = rows.join(F.broadcast(hot), "term")

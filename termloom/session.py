@@ -28,6 +28,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/termloom/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path of any file system Spark can reach."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: lineage ends at a table that outlives executors."""
     path = new_path(df.sparkSession, label)

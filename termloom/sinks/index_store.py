@@ -18,8 +18,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,14 +28,18 @@ from termloom.operators.index import (
     IndexSpec,
     analyse_documents,
     combine_term_stats,
-    count_fields,
     count_terms,
+    field_counters,
     postings_of,
 )
+from termloom.session import path_exists
 
 # The ways to open an index for writing.
 MODES = ("create", "append", "create_or_append")
 
+# Postings a task sorts and writes: a few hundred megabytes, before compression.
+ROWS_PER_PARTITION = 5_000_000
+
 BATCH = "batch string"
 POSTINGS = f"term string, doc_id bigint, tf bigint, {BATCH}, field string"
 TERM_STATS = f"term string, df bigint, ttf bigint, sum_sq_tf bigint, {BATCH}, field string"
@@ -67,12 +70,10 @@ class Manifest:
 
 def read_manifest(spark: SparkSession, path: str) -> Manifest | None:
     """The newest manifest, or None where there is no index."""
-    try:
-        table = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    folder = f"{path}/manifest"
+    if not path_exists(spark, folder):
+        return None
+    table = spark.read.schema(MANIFEST).parquet(folder)
     row = table.orderBy(F.col("generation").desc()).first()
     if row is None:
         return None
@@ -117,16 +118,32 @@ def new_batch_name() -> str:
     return f"b{uuid.uuid4().hex[:12]}"
 
 
-def write_documents(documents: DataFrame, path: str, name: str) -> None:
-    """Store the documents of a batch in the order they come.
+def write_documents(
+    documents: DataFrame, spec: IndexSpec, path: str, name: str
+) -> dict[str, int]:
+    """Store the documents of a batch in the order they come; return what was counted.
 
     The bloom filter lets a lookup by doc_id skip row groups without a sort.
+    The counts are taken by the writing tasks, so nothing is read again.
     """
+    counters = {
+        "n_docs": F.count("*"),
+        "low": F.coalesce(F.min("doc_id"), F.lit(0)),
+        "high": F.coalesce(F.max("doc_id"), F.lit(-1)),
+    }
+    for field in spec.term_fields:
+        for counter, value in field_counters(spec, field).items():
+            counters[f"{counter} {field}"] = value
+    seen = Observation()
     (
-        documents.write.option("parquet.bloom.filter.enabled#doc_id", "true")
+        documents.observe(seen, *(value.alias(c) for c, value in counters.items()))
+        .write.option("parquet.bloom.filter.enabled#doc_id", "true")
         .option("parquet.bloom.filter.expected.ndv#doc_id", "100000")
         .parquet(f"{path}/documents/batch={name}")
     )
+    if seen.get["low"] < 0:
+        raise ValueError("doc_id must not be negative")
+    return seen.get
 
 
 def write_postings(postings: DataFrame, path: str, name: str) -> None:
@@ -137,16 +154,27 @@ def write_postings(postings: DataFrame, path: str, name: str) -> None:
     )
 
 
-def write_term_stats(stats: DataFrame, path: str, name: str) -> None:
+def write_term_stats(stats: DataFrame, spec: IndexSpec, path: str, name: str) -> dict[str, int]:
+    """Store the statistics of a batch; return the number of terms of each field."""
+    seen = Observation()
+    counted = stats.observe(
+        seen, *(F.count_if(F.col("field") == f).alias(f) for f in spec.term_fields)
+    )
     (
-        stats.sortWithinPartitions("field", "term")
+        counted.sortWithinPartitions("field", "term")
         .write.partitionBy("field")
         .parquet(f"{path}/term_stats/batch={name}")
     )
+    return seen.get
 
 
 def derive_batch(
-    spark: SparkSession, path: str, name: str, spec: IndexSpec, schema: T.StructType
+    spark: SparkSession,
+    path: str,
+    name: str,
+    spec: IndexSpec,
+    schema: T.StructType,
+    seen: dict[str, int],
 ) -> Row:
     """Write the term tables of a stored batch of documents; return its manifest entry.
 
@@ -154,34 +182,35 @@ def derive_batch(
     in a third of all postings is spread over as many tasks as it needs.
     """
     documents = read_documents(spark, path, [name], schema)
-    by_term = postings_of(documents, spec).repartitionByRange("field", "term", "doc_id")
+    n_postings = sum(seen[f"sum_doc_freq {f}"] for f in spec.term_fields)
+    by_term = range_partitioned(postings_of(documents, spec), n_postings, "field", "term", "doc_id")
     write_postings(by_term, path, name)
     postings = read_batches(spark, path, "postings", [name], POSTINGS)
-    write_term_stats(count_terms(postings).repartitionByRange("field", "term"), path, name)
-
-    stats = read_batches(spark, path, "term_stats", [name], TERM_STATS)
-    n_terms = stats.groupBy("field").agg(F.count("*").alias("n_terms"))
-    fields = count_fields(documents, spec).join(n_terms, "field").collect()
-    ids = documents.agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
-    ).first()
-    if ids["n"] and ids["low"] < 0:
-        raise ValueError("doc_id must not be negative")
-    return Row(
-        name=name,
-        n_docs=ids["n"],
-        next_id=(ids["high"] + 1) if ids["n"] else 0,
-        fields=[
-            Row(
-                field=r["field"],
-                doc_count=r["doc_count"],
-                sum_total_term_freq=r["sum_total_term_freq"],
-                sum_doc_freq=r["sum_doc_freq"],
-                n_terms=r["n_terms"],
-            )
-            for r in fields
-        ],
-    )
+    stats = range_partitioned(count_terms(postings), n_postings, "field", "term")
+    n_terms = write_term_stats(stats, spec, path, name)
+    fields = [
+        Row(
+            field=f,
+            doc_count=seen[f"doc_count {f}"],
+            sum_total_term_freq=seen[f"sum_total_term_freq {f}"],
+            sum_doc_freq=seen[f"sum_doc_freq {f}"],
+            n_terms=n_terms[f],
+        )
+        for f in spec.term_fields
+        if n_terms[f]
+    ]
+    return Row(name=name, n_docs=seen["n_docs"], next_id=seen["high"] + 1, fields=fields)
+
+
+def range_partitioned(rows: DataFrame, n_rows: int, *order: str) -> DataFrame:
+    """Order by range; as many partitions as the counted rows need.
+
+    Below the session's own number of partitions adaptive execution decides.
+    """
+    needed = -(-n_rows // ROWS_PER_PARTITION)
+    if needed > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows.repartitionByRange(needed, *order)
+    return rows.repartitionByRange(*order)
 
 
 def open_for_writing(
@@ -218,49 +247,52 @@ def write_index(
         documents = documents.withColumn("doc_id", F.col("doc_id") + F.lit(base.next_id))
     schema = as_nullable(documents.schema)
     name = new_batch_name()
-    write_documents(documents, path, name)
+    added = {name: write_documents(documents, spec, path, name)}
 
     kept: tuple[Row, ...] = base.batches if base else ()
-    added = [name]
     if base and update:
-        name, kept, survivors = replace_by_key(spark, path, base, name, schema)
-        added = [name] + survivors
-    entries = [derive_batch(spark, path, n, spec, schema) for n in added]
+        added, kept = replace_by_key(spark, path, base, added, schema)
+    entries = [derive_batch(spark, path, n, spec, schema, seen) for n, seen in added.items()]
     if kept or any(e["n_docs"] for e in entries):
         entries = [e for e in entries if e["n_docs"]]
-    commit(spark, path, Manifest(generation, spec, schema, (*kept, *entries)))
-    return read_index(spark, path)
+    manifest = Manifest(generation, spec, schema, (*kept, *entries))
+    commit(spark, path, manifest)
+    return open_index(spark, path, manifest)
 
 
 def replace_by_key(
-    spark: SparkSession, path: str, base: Manifest, new: str, schema: T.StructType
-) -> tuple[str, tuple[Row, ...], list[str]]:
-    """Make room for batch ``new``: (batch to add, batches left alone, rewritten batches).
+    spark: SparkSession,
+    path: str,
+    base: Manifest,
+    added: dict[str, dict[str, int]],
+    schema: T.StructType,
+) -> tuple[dict[str, dict[str, int]], tuple[Row, ...]]:
+    """Make room for the one batch in ``added``: (batches to add, batches left alone).
 
     Only batches that hold a replaced document are written again.
     """
-    key = base.spec.key
+    spec, key, (new,) = base.spec, base.spec.key, added
     fresh = read_documents(spark, path, [new], schema).drop("batch")
     last = fresh.groupBy(key).agg(F.max("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    if not last.filter(F.col("n") > 1).isEmpty():
-        new = new_batch_name()
+    if not last.filter(F.col(key).isNotNull() & (F.col("n") > 1)).isEmpty():
         winners = last.filter(F.col(key).isNotNull()).select("doc_id")
         no_key = fresh.filter(F.col(key).isNull())
         unique = fresh.join(winners, "doc_id", "left_semi").unionByName(no_key)
-        write_documents(unique, path, new)
+        new = new_batch_name()
+        added = {new: write_documents(unique, spec, path, new)}
     keys = read_documents(spark, path, [new], schema).select(key)
 
-    names = [b["name"] for b in base.batches]
-    stored = read_documents(spark, path, names, schema)
+    stored = read_documents(spark, path, [b["name"] for b in base.batches], schema)
     hit = stored.select("batch", key).join(keys, key, "left_semi").select("batch").distinct()
     touched = sorted(r["batch"] for r in hit.collect())
-    kept = tuple(b for b in base.batches if b["name"] not in touched)
     if not touched:
-        return new, kept, []
-    survivors = new_batch_name()
+        return added, base.batches
     left = read_documents(spark, path, touched, schema).drop("batch")
-    write_documents(left.join(keys, key, "left_anti"), path, survivors)
-    return new, kept, [survivors]
+    survivors = new_batch_name()
+    added[survivors] = write_documents(
+        left.join(keys, key, "left_anti"), spec, path, survivors
+    )
+    return added, tuple(b for b in base.batches if b["name"] not in touched)
 
 
 def merge_indexes(spark: SparkSession, sources: list[str], path: str, mode: str = "create") -> Index:
@@ -284,23 +316,24 @@ def merge_indexes(spark: SparkSession, sources: list[str], path: str, mode: str
     offset = max((b["next_id"] for b in entries), default=0)
     for source, part in zip(sources, parts):
         for batch in part.batches:
-            entries.append(copy_batch(spark, source, batch, path, schema, offset))
+            entries.append(copy_batch(spark, source, batch, path, part, offset))
         offset += part.next_id
-    commit(spark, path, Manifest(generation, spec, schema, tuple(entries)))
-    return read_index(spark, path)
+    manifest = Manifest(generation, spec, schema, tuple(entries))
+    commit(spark, path, manifest)
+    return open_index(spark, path, manifest)
 
 
 def copy_batch(
-    spark: SparkSession, source: str, batch: Row, path: str, schema: T.StructType, offset: int
+    spark: SparkSession, source: str, batch: Row, path: str, part: Manifest, offset: int
 ) -> Row:
     name = new_batch_name()
     shifted = F.col("doc_id") + F.lit(offset)
-    documents = read_documents(spark, source, [batch["name"]], schema).drop("batch")
-    write_documents(documents.withColumn("doc_id", shifted), path, name)
+    documents = read_documents(spark, source, [batch["name"]], part.document_schema).drop("batch")
+    write_documents(documents.withColumn("doc_id", shifted), part.spec, path, name)
     postings = read_batches(spark, source, "postings", [batch["name"]], POSTINGS).drop("batch")
     write_postings(postings.withColumn("doc_id", shifted), path, name)
     stats = read_batches(spark, source, "term_stats", [batch["name"]], TERM_STATS).drop("batch")
-    write_term_stats(stats, path, name)
+    write_term_stats(stats, part.spec, path, name)
     return Row(**{**batch.asDict(), "name": name, "next_id": batch["next_id"] + offset})
 
 
@@ -309,6 +342,10 @@ def read_index(spark: SparkSession, path: str) -> Index:
     manifest = read_manifest(spark, path)
     if manifest is None:
         raise ValueError(f"no index at {path}")
+    return open_index(spark, path, manifest)
+
+
+def open_index(spark: SparkSession, path: str, manifest: Manifest) -> Index:
     spec, batches = manifest.spec, manifest.batches
     names = [b["name"] for b in batches]
     documents = read_documents(spark, path, names, manifest.document_schema).drop("batch")
