@@ -43,6 +43,14 @@ class IndexSpec:
             raise ValueError(f"field {field!r} has no terms")
 
 
+@dataclass(frozen=True)
+class FieldSize:
+    """What a stored index knows of a field: at most ``n_terms`` terms, ``n_postings`` postings."""
+
+    n_terms: int = 0
+    n_postings: int = 0
+
+
 @dataclass(frozen=True)
 class Index:
     """Tables of an index.
@@ -53,7 +61,7 @@ class Index:
     ``term_stats`` field, term, df, ttf, sum_sq_tf
     ``field_counts`` field, doc_count, sum_total_term_freq, sum_doc_freq
     ``n_docs``     number of documents, with or without terms
-    ``vocabulary_bounds``  per field an upper bound of its distinct terms, if known
+    ``sizes``      size of every field with terms, if the index is stored
     """
 
     spec: IndexSpec
@@ -62,7 +70,11 @@ class Index:
     term_stats: DataFrame
     field_counts: DataFrame
     n_docs: Column
-    vocabulary_bounds: dict[str, int] | None = None
+    sizes: dict[str, FieldSize] | None = None
+
+    @property
+    def stored(self) -> bool:
+        return self.sizes is not None
 
     def field_postings(self, field: str) -> DataFrame:
         self.spec.check_field(field)
@@ -202,16 +214,19 @@ def with_document_frequency(index: Index, field: str, rows: DataFrame) -> DataFr
 
     A vocabulary known to be small is broadcast.  Otherwise the rows are split:
     a term in more than 1/BROADCAST_ROWS of all postings is frequent, of which
-    there can be at most BROADCAST_ROWS, so these statistics are broadcast and
-    their rows, the bulk of any text, stay where they are.  Only rows of the
+    there can be fewer than BROADCAST_ROWS, so these statistics are broadcast
+    and their rows, the bulk of any text, stay where they are.  Only rows of the
     remaining terms, none of them hot, are shuffled.
     """
     stats = index.field_terms(field).select("term", "df")
-    bound = (index.vocabulary_bounds or {}).get(field)
-    if bound is not None and bound <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(stats), "term")
-    total = index.field_counts.filter(F.col("field") == field).select("sum_doc_freq").scalar()
-    frequent = F.col("df") * BROADCAST_ROWS > total
+    if index.sizes is not None:
+        size = index.sizes.get(field, FieldSize())
+        if size.n_terms <= BROADCAST_ROWS:
+            return rows.join(F.broadcast(stats), "term")
+        frequent = F.col("df") > size.n_postings // BROADCAST_ROWS
+    else:
+        counts = index.field_counts.filter(F.col("field") == field)
+        frequent = F.col("df") * BROADCAST_ROWS > counts.select("sum_doc_freq").scalar()
     hot, cold = stats.filter(frequent), stats.filter(~frequent)
     near = rows.join(F.broadcast(hot), "term")
     far = rows.join(F.broadcast(hot.select("term")), "term", "left_anti").join(cold, "term")

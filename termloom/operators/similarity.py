@@ -14,7 +14,7 @@ from termloom.functions.weights import (
     weight,
 )
 from termloom.operators.index import Index, field_vectors, term_rows
-from termloom.operators.statistics import postings_with_df
+from termloom.operators.statistics import postings_lookup, postings_with_df
 
 
 def term_weights(index: Index, field: str, rep: str) -> DataFrame:
@@ -48,20 +48,29 @@ def term_norms(index: Index, field: str, rep: str) -> DataFrame:
     return index.field_terms(field).select("term", value.alias("norm"))
 
 
+# Parquet tests up to this many values one by one, bloom filters included.
+RARE_DOCS = 10
+
+
 def query_statistics(index: Index, field: str, term: str) -> Row | None:
     """df and sum of squared tf of the query term, None if it is absent."""
     rows = index.field_terms(field).filter(F.col("term") == term)
     return rows.select("df", "sum_sq_tf", F.lit(index.n_docs).alias("n_docs")).first()
 
 
-def co_occurrence(index: Index, field: str, term: str) -> DataFrame:
+def co_occurrence(index: Index, field: str, term: str, df: int) -> DataFrame:
     """(term, co_docs, tf_dot) for every term that shares a document with ``term``.
 
     A row of the documents table holds both sides of each product, so there is
-    neither a join nor a broadcast, however many documents the query term is
-    in.  The only shuffle moves map-side sums, one row per term and task.
+    neither a join nor a broadcast, however many of the documents the query
+    term is in.  The only shuffle moves map-side sums, one row per term and
+    task.  A stored index knows the few documents of a rare term from its
+    postings, and Parquet then skips the row groups of all others.
     """
     vectors = field_vectors(index.documents, index.spec, field)
+    if index.stored and df <= RARE_DOCS:
+        few = [r["doc_id"] for r in postings_lookup(index, field, term).collect()]
+        vectors = vectors.filter(F.col("doc_id").isin(few))
     with_query = vectors.withColumn(
         "query_tf", F.get("tfs", F.array_position("terms", F.lit(term)) - 1)
     ).filter(F.array_contains("terms", F.lit(term)))
@@ -78,12 +87,12 @@ def co_occurrence(index: Index, field: str, term: str) -> DataFrame:
 def cosine_dot(index: Index, field: str, term: str, rep: str) -> DataFrame:
     """(term, dot) with the query term's vector; only terms that share a document."""
     check_choice("rep", rep, REPRESENTATIONS)
-    shared = co_occurrence(index, field, term)
+    query = query_statistics(index, field, term)
+    shared = co_occurrence(index, field, term, query["df"] if query else 0)
     if rep == "bin":
         return shared.select("term", F.col("co_docs").cast("double").alias("dot"))
     if rep == "tf":
         return shared.select("term", F.col("tf_dot").cast("double").alias("dot"))
-    query = query_statistics(index, field, term)
     query_idf = idf(F.lit(index.n_docs), F.lit(query["df"] if query else None))
     joined = shared.join(index.field_terms(field).select("term", "df"), "term")
     dot = F.col("tf_dot") * idf(F.lit(index.n_docs), F.col("df")) * query_idf
@@ -106,7 +115,7 @@ def cosine_similarity(index: Index, field: str, term: str, rep: str) -> DataFram
         return terms.select("term", nan.alias("similarity"))
 
     shared, own = ("co_docs", "df") if rep == "bin" else ("tf_dot", "sum_sq_tf")
-    dots = co_occurrence(index, field, term).select("term", shared)
+    dots = co_occurrence(index, field, term, query["df"]).select("term", shared)
     joined = terms.join(dots, "term", "left")
     lengths = F.sqrt(F.col(own).cast("double")) * F.sqrt(F.lit(query[own]).cast("double"))
     similarity = score(F.coalesce(F.col(shared), F.lit(0)) / lengths)

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from termloom.functions.weights import check_choice
 from termloom.operators.index import (
+    FieldSize,
     Index,
     IndexSpec,
     analyse_documents,
@@ -37,8 +38,8 @@ from termloom.session import path_exists
 # The ways to open an index for writing.
 MODES = ("create", "append", "create_or_append")
 
-# Postings a task sorts and writes: a few hundred megabytes, before compression.
-ROWS_PER_PARTITION = 5_000_000
+# Postings a task sorts and writes: about a gigabyte, some 60 MB as Parquet.
+ROWS_PER_PARTITION = 20_000_000
 
 BATCH = "batch string"
 POSTINGS = f"term string, doc_id bigint, tf bigint, {BATCH}, field string"
@@ -351,10 +352,13 @@ def open_index(spark: SparkSession, path: str, manifest: Manifest) -> Index:
     documents = read_documents(spark, path, names, manifest.document_schema).drop("batch")
     postings = read_batches(spark, path, "postings", names, POSTINGS)
     stats = read_batches(spark, path, "term_stats", names, TERM_STATS).drop("batch")
-    bounds: dict[str, int] = dict.fromkeys(spec.term_fields, 0)
+    sizes: dict[str, FieldSize] = {}
     for batch in batches:
-        for field in batch["fields"]:
-            bounds[field["field"]] += field["n_terms"]
+        for seen in batch["fields"]:
+            so_far = sizes.get(seen["field"], FieldSize())
+            sizes[seen["field"]] = FieldSize(
+                so_far.n_terms + seen["n_terms"], so_far.n_postings + seen["sum_doc_freq"]
+            )
     return Index(
         spec=spec,
         documents=documents,
@@ -362,7 +366,7 @@ def open_index(spark: SparkSession, path: str, manifest: Manifest) -> Index:
         term_stats=combine_term_stats([stats]) if len(names) > 1 else stats,
         field_counts=stored_field_counts(spark, path, manifest.generation),
         n_docs=F.lit(sum(b["n_docs"] for b in batches)),
-        vocabulary_bounds=bounds,
+        sizes=sizes,
     )
 
 

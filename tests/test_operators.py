@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import termloom as tl
-from termloom.operators import clusters, index
+from termloom.operators import clusters, index, similarity
 from termloom.session import new_path
 
 SPEC = tl.IndexSpec(text=("contents",), exact=("path", "lang"), points=("size",))
@@ -160,6 +160,18 @@ def test_frequent_and_rare_terms_take_both_ways(spark, corpus, monkeypatch):
         assert sorted(pairs(tl.postings_with_df(corpus, "contents"))) == want
 
 
+@pytest.mark.parametrize("rep", ["bin", "tf", "tfxidf"])
+def test_rare_and_frequent_query_terms_take_both_ways(corpus, rep, monkeypatch):
+    found = []
+    for limit in (0, 1, 10):
+        monkeypatch.setattr(similarity, "RARE_DOCS", limit)
+        for term in ("apple", "b", "absent"):
+            ranked = tl.similar_terms(corpus, "contents", term, 7, rep, nan="drop")
+            dots = tl.cosine_dot(corpus, "contents", term, rep).orderBy("term")
+            found.append((pairs(ranked), pairs(dots)))
+    assert found[:3] == found[3:6] == found[6:]
+
+
 # Clusters
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import termloom as tl
+from termloom.functions.metadata import between
 from termloom.operators import index
 from termloom.session import new_path
 from tests.test_operators import SPEC, docs
@@ -54,7 +56,7 @@ def test_cosine_sums_shuffle_once(stored):
 
 def test_only_the_needed_columns_are_read(stored):
     text = plan(tl.cosine_dot(stored, "contents", "apple", "tf"))
-    assert "ReadSchema: struct<contents:struct<length:bigint,terms:array<string>,tfs:array<bigint>>>" in text
+    assert "ReadSchema: struct<doc_id:bigint,contents:struct<length:bigint,terms:array<string>,tfs:array<bigint>>>" in text
     text = plan(tl.term_norms(stored, "contents", "bin"))
     assert "ReadSchema: struct<term:string,df:bigint>" in text
 
@@ -66,6 +68,13 @@ def test_lookups_are_pushed_down(stored):
     assert "EqualTo(doc_id,0)" in plan(tl.term_vector(stored, 0, "contents"))
 
 
+def test_rare_terms_and_ranges_are_pushed_down(stored):
+    text = plan(tl.cosine_dot(stored, "contents", "apple", "tf"))
+    assert "In(doc_id, [0,2])" in text
+    text = plan(stored.documents.filter(between(F.col("size"), 1, 2)).select("path"))
+    assert "GreaterThanOrEqual(size,1), LessThanOrEqual(size,2)" in text
+
+
 def test_field_statistics_of_a_stored_index_read_the_manifest_alone(stored):
     text = plan(tl.all_field_stats(stored))
     assert text.count("FileScan") == 1 and "struct<generation:bigint,batches:" in text
