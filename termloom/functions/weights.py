@@ -13,6 +13,9 @@ REPRESENTATIONS = ("bin", "tf", "tfxidf")
 # the order in which a cluster happens to add doubles.
 SCORE_DIGITS = 9
 
+# A dot product grows with the collection; nine places of a large one are noise.
+DOT_DIGITS = 6
+
 
 def check_choice(name: str, value: str, allowed: tuple[str, ...]) -> None:
     if value not in allowed:
@@ -39,5 +42,5 @@ def weight(rep: str, tf: Column, df: Column, n_docs: Column) -> Column:
     return tf * idf(n_docs, df)
 
 
-def score(value: Column) -> Column:
-    return F.round(value, SCORE_DIGITS)
+def score(value: Column, digits: int = SCORE_DIGITS) -> Column:
+    return F.round(value, digits)

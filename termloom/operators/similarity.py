@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from termloom.functions.weights import (
+    DOT_DIGITS,
     REPRESENTATIONS,
     check_choice,
     check_top,
@@ -96,7 +97,7 @@ def cosine_dot(index: Index, field: str, term: str, rep: str) -> DataFrame:
     query_idf = idf(F.lit(index.n_docs), F.lit(query["df"] if query else None))
     joined = shared.join(index.field_terms(field).select("term", "df"), "term")
     dot = F.col("tf_dot") * idf(F.lit(index.n_docs), F.col("df")) * query_idf
-    return joined.select("term", score(dot).alias("dot"))
+    return joined.select("term", score(dot, DOT_DIGITS).alias("dot"))
 
 
 def cosine_similarity(index: Index, field: str, term: str, rep: str) -> DataFrame:

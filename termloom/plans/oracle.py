@@ -314,7 +314,7 @@ UNION ALL SELECT ''""",
 SELECT term, doc_id, round({value}, 9) AS weight FROM with_df"""
         found[f"term_norms_{rep}"] = f"""{cosines(rep)}
 SELECT term, round(norm, 9) AS norm FROM norms"""
-        found[f"cosine_dot_{rep}"] = f"{cosines(rep)} SELECT term, round(dot, 9) AS dot FROM dots"
+        found[f"cosine_dot_{rep}"] = f"{cosines(rep)} SELECT term, round(dot, 6) AS dot FROM dots"
         found[f"cosine_similarity_{rep}"] = f"{cosines(rep)} SELECT term, similarity FROM sims"
         found[f"similar_terms_{rep}"] = f"{cosines(rep)} SELECT term, similarity FROM top"
     for order in ("tf", "df", "tfxidf"):
