@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,42 +55,37 @@ def kmeans_fit(
 ) -> list[float]:
     """Centroids of Lloyd's algorithm, means at convergence.
 
-    Every step is one aggregation over the distinct values; the driver holds k
-    sums and counts.  On a line each cluster is a run of the ordered values, so
+    Every step is one aggregation over the distinct values, which are written
+    once; the driver holds k sums and counts.  On a line each cluster is a run of the ordered values, so
     the assignment is stable as soon as the cluster sizes are.  A cluster that
     has lost its members keeps its centroid.
     """
-    values = (
-        points.filter(~F.isnan("similarity"))
-        .groupBy("similarity")
-        .agg(F.count("*").alias("n"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    counted = (
+        points.filter(~F.isnan("similarity")).groupBy("similarity").agg(F.count("*").alias("n"))
     )
-    try:
-        centroids = [r["centroid"] for r in kmeans_init(values, k, seed).orderBy("cluster").collect()]
-        if len(centroids) < k:
-            raise ValueError(f"{k} clusters need {k} distinct values; there are {len(centroids)}")
-        sizes: list[int] = []
-        for _ in range(max_iter):
-            sums = (
-                kmeans_assign(values, centroids)
-                .groupBy("cluster")
-                .agg(F.sum("n").alias("n"), F.sum(F.col("similarity") * F.col("n")).alias("total"))
-                .collect()
-            )
-            found = {r["cluster"]: r for r in sums}
-            new_sizes = [found[i]["n"] if i in found else 0 for i in range(k)]
-            if new_sizes == sizes:
-                return centroids
-            sizes = new_sizes
-            centroids = [
-                found[i]["total"] / found[i]["n"] if i in found else c
-                for i, c in enumerate(centroids)
-            ]
-        log.warning("k-means stopped after %d steps without convergence", max_iter)
-        return centroids
-    finally:
-        values.unpersist()
+    values = stage(counted, "similarity-values")
+    centroids = [r["centroid"] for r in kmeans_init(values, k, seed).orderBy("cluster").collect()]
+    if len(centroids) < k:
+        raise ValueError(f"{k} clusters need {k} distinct values; there are {len(centroids)}")
+    sizes: list[int] = []
+    for _ in range(max_iter):
+        sums = (
+            kmeans_assign(values, centroids)
+            .groupBy("cluster")
+            .agg(F.sum("n").alias("n"), F.sum(F.col("similarity") * F.col("n")).alias("total"))
+            .collect()
+        )
+        found = {r["cluster"]: r for r in sums}
+        new_sizes = [found[i]["n"] if i in found else 0 for i in range(k)]
+        if new_sizes == sizes:
+            return centroids
+        sizes = new_sizes
+        centroids = [
+            found[i]["total"] / found[i]["n"] if i in found else c
+            for i, c in enumerate(centroids)
+        ]
+    log.warning("k-means stopped after %d steps without convergence", max_iter)
+    return centroids
 
 
 def kmeans_1d(points: DataFrame, k: int, seed: int = 0, max_iter: int = 100) -> DataFrame:
