@@ -5,16 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from termloom.llm import oddsketch
+from termloom.llm import decontaminate, oddsketch, toxicity
 from termloom.sources.tables import read_table
 
 
+def op5_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.benchmark_hits(docs, items))
+
+
+def op8_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oddsketch.near_duplicates(read_table(spark, sf_dir, "documents"), 75)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_suffix_automaton": op5_suffix_automaton,
+        "op8_bigru": op8_bigru,
         "op9_odd_sketch": op9_odd_sketch,
     }
