@@ -7,10 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, oddsketch, toxicity
+from termloom.llm import decontaminate, egojoin, hosttrust, huffman, mixing, oddsketch, sharding, toxicity
 from termloom.sources.tables import read_table
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.encoded(read_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op2_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    taken = F.col("copies") * F.col("size")
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "copies")
+
+
+def op3_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(read_table(spark, sf_dir, "documents"), 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosttrust.judge_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op5_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.benchmark_hits(docs, items))
@@ -31,9 +59,18 @@ def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oddsketch.near_duplicates(read_table(spark, sf_dir, "documents"), 75)
 
 
+def op10_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return egojoin.near_vectors(read_table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_huffman": op1_huffman,
+        "op2_entropy_balance": op2_entropy_balance,
+        "op3_label_shards": op3_label_shards,
+        "op4_host_trust": op4_host_trust,
         "op5_suffix_automaton": op5_suffix_automaton,
         "op8_bigru": op8_bigru,
         "op9_odd_sketch": op9_odd_sketch,
+        "op10_epsilon_grid": op10_epsilon_grid,
     }

@@ -1,14 +1,56 @@
-"""The stages of the corpus pipeline: (spark, docs, sf_dir) to documents or token ids."""
+"""The stages of the corpus pipeline: (spark, docs, sf_dir) to documents or token ids.
+
+All but the last return the columns of their input; each decides by its own input alone.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from termloom.llm import decontaminate, huffman, mixing, oddsketch, toxicity
+from termloom.llm.queries import tokenizer_file
+from termloom.session import stage
+from termloom.sources.tables import read_table
+
 
-from termloom.llm import oddsketch
+def _without(docs: DataFrame, gone: DataFrame, label: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``gone``; rows without an id stay."""
+    return docs.join(stage(gone.distinct(), label), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score at the threshold or above go."""
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return _without(
+        docs, scored.filter(F.col("score") >= toxicity.THRESHOLD).select("doc_id"), "toxic-ids"
+    )
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one of the smallest id."""
     found = oddsketch.near_duplicates(docs, 75)
-    gone = found.filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, found.filter("not kept").select("doc_id"), "near-gone")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a twentieth of their words or more in benchmark windows go."""
+    hits = decontaminate.digest(
+        decontaminate.benchmark_hits(docs, read_table(spark, sf_dir, "benchmark"))
+    )
+    return _without(docs, hits.filter("contaminated").select("doc_id"), "contaminated-ids")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it; rows that share an id are alike."""
+    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_n"))
+    copies = stage(copies.filter("_n > 0"), "mix-chosen")
+    chosen = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"]))
+    repeated = F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))
+    return chosen.withColumn("_copy", repeated).select(*docs.columns)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of the written and reread token files."""
+    return huffman.encoded(docs, tokenizer_file())
