@@ -25,7 +25,7 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 12
+ROUNDS = 8
 #: A host is blocked when its distrust exceeds its trust by this share of both.
 THRESHOLD = 0.0
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*[a-z][a-z0-9+.-]*://([^/?#"'\s>]+)"""

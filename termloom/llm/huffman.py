@@ -120,7 +120,7 @@ class Code:
     def decode(self, bits: bytes, checkpoints: bytes, n: int) -> np.ndarray:
         """The ``n`` ids of a block, all checkpoints in step."""
         at = np.frombuffer(checkpoints, dtype="<u4").astype(np.int64)
-        words = np.append(np.frombuffer(bits, dtype=">u4").astype(np.uint64), [0, 0])
+        words = np.append(np.frombuffer(bits, dtype=">u4").astype(np.uint64), np.zeros(2, np.uint64))
         words = ((words[:-1] << np.uint64(32)) | words[1:]).astype(np.uint64)
         out = np.empty((CHECKPOINT, len(at)), dtype=np.uint32)
         down = np.uint64(64 - self.max_bits)
