@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, egojoin, hosttrust, huffman, mixing, oddsketch, sharding, toxicity
+from termloom.llm import decontaminate, egojoin, hosttrust, huffman, mixing, oddsketch, pseudolm, sharding, toxicity
 from termloom.sources.tables import read_table
 
 
@@ -44,6 +44,10 @@ def op5_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.benchmark_hits(docs, items))
 
 
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudolm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_label_shards": op3_label_shards,
         "op4_host_trust": op4_host_trust,
         "op5_suffix_automaton": op5_suffix_automaton,
+        "op6_pseudo_likelihood": op6_pseudo_likelihood,
         "op8_bigru": op8_bigru,
         "op9_odd_sketch": op9_odd_sketch,
         "op10_epsilon_grid": op10_epsilon_grid,
