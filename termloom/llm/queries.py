@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, egojoin, hosttrust, huffman, mixing, oddsketch, pseudolm, sharding, toxicity
+from termloom.llm import decontaminate, egojoin, hosttrust, huffman, mixing, oddsketch, pseudolm, sharding, suffixdedup, toxicity
 from termloom.sources.tables import read_table
 
 
@@ -48,6 +48,10 @@ def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudolm.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_induced_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digest(suffixdedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op8_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_host_trust": op4_host_trust,
         "op5_suffix_automaton": op5_suffix_automaton,
         "op6_pseudo_likelihood": op6_pseudo_likelihood,
+        "op7_induced_sort": op7_induced_sort,
         "op8_bigru": op8_bigru,
         "op9_odd_sketch": op9_odd_sketch,
         "op10_epsilon_grid": op10_epsilon_grid,
