@@ -13,6 +13,7 @@ table ``code`` with the code length of every id, zero for ids that do not occur.
 from __future__ import annotations
 
 import functools
+import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,7 +32,9 @@ BLOCK_IDS = 1 << 18
 CHECKPOINT = 128
 MAX_BITS = 16
 #: Words a task keeps the ids of, in each of two generations.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
+#: Marks that end many words; a byte-level tokenizer splits them from letters.
+MARKS = ",.;:!?|)"
 BLOCK_SCHEMA = (
     "part int, block long, start long, doc_ids array<bigint>, sizes array<bigint>,"
     " bits binary, checkpoints binary"
@@ -155,30 +158,85 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.wide = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        gc.disable()  # strings and bytes have no cycles; passes over the cache cost more
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.by_word = _splits_at_spaces(self.tokenizer)
         self.line_id = self._whole(["\n"])[0] if self.by_word else b""
+        self.marks = dict(zip(MARKS, self._whole(list(MARKS)), strict=True))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.wide).tobytes() for e in found]
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w and w.split() == [w]]
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            raw = self._whole([" " + "\n ".join(part)])[0]
+    def _pieces(self, lead: str, words: list[str]) -> None:
+        """Encode words together, each behind ``lead`` (a space or nothing).
+
+        A word is the key of its ids behind a space, with a line end in front of it the
+        key of its ids without.
+        """
+        key = "" if lead else "\n"
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            raw = self._whole([lead + ("\n" + lead).join(part)])[0]
             ids = np.frombuffer(raw, dtype=self.wide)
             cuts = np.flatnonzero(ids == np.frombuffer(self.line_id, dtype=self.wide)[0])
             step = ids.itemsize
             starts = [0, *((cuts + 1) * step).tolist()]
             ends = [*(cuts * step).tolist(), len(raw)]
-            self.young.update(zip(part, map(raw.__getitem__, map(slice, starts, ends)), strict=True))
-        rest = [w for w in words if w not in self.young]
-        for at in range(0, len(rest), 2000):
-            part = rest[at : at + 2000]
-            self.young.update(zip(part, self._whole([" " + w for w in part]), strict=True))
+            found = map(raw.__getitem__, map(slice, starts, ends))
+            self.young.update(zip((key + w for w in part), found, strict=True))
+
+    def _stem(self, word: str) -> str:
+        """The word without one mark at its end that the tokenizer always splits off."""
+        return word[:-1] if word[-1] in self.marks and word[:-1].isalpha() else word
+
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of words that stand behind a space."""
+        marks, young = self.marks, self.young
+        plain, marked, lines, whole = [], [], {}, []
+        spaced, bare = set(), set()
+        for word in words:
+            if word.isalpha():
+                plain.append(word)
+            elif word and word[-1] in marks and word[:-1].isalpha():
+                marked.append(word)
+                spaced.add(word[:-1])
+            elif word.split() == [word]:
+                plain.append(word)
+            else:
+                parts = word.split("\n")
+                if all(p and p.split() == [p] for p in parts):
+                    lines[word] = parts
+                    spaced.add(self._stem(parts[0]))
+                    bare.update(map(self._stem, parts[1:]))
+                else:
+                    whole.append(word)
+        spaced.difference_update(plain)
+        plain += [w for w in spaced if not self._known(w)]
+        self._pieces(" ", plain)
+        self._pieces("", [w for w in bare if not self._known("\n" + w)])
+        young.update({w: young[w[:-1]] + marks[w[-1]] for w in marked})
+        for word, parts in lines.items():
+            out = []
+            for k, part in enumerate(parts):
+                stem = self._stem(part)
+                out.append(self.line_id + young["\n" + stem] if k else young[stem])
+                if stem is not part:
+                    out.append(marks[part[-1]])
+            young[word] = b"".join(out)
+        for at in range(0, len(whole), 2000):
+            part = whole[at : at + 2000]
+            young.update(zip(part, self._whole([" " + w for w in part]), strict=True))
+
+    def _known(self, key: str) -> bool:
+        if key in self.young:
+            return True
+        ids = self.old.get(key)
+        if ids is None:
+            return False
+        self.young[key] = ids
+        return True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, of two or four bytes."""
@@ -193,14 +251,10 @@ class Encoder:
                 split.append(words)
         if len(self.young) > CACHED_WORDS:
             self.young, self.old = {}, self.young
-        new = []
-        for word in wanted:
-            if word not in self.young:
-                ids = self.old.get(word)
-                if ids is None:
-                    new.append(word)
-                else:
-                    self.young[word] = ids
+        fresh = wanted.difference(self.young)
+        for word in fresh & self.old.keys():
+            self.young[word] = self.old[word]
+        new = [w for w in fresh if w not in self.old]
         if new:
             self._learn(new)
         known = self.young.__getitem__
