@@ -4,6 +4,7 @@ from termloom.operators.clusters import (
     cluster_summary,
     kmeans_1d,
     kmeans_assign,
+    kmeans_fit,
     kmeans_init,
     terms_clusters,
 )
@@ -56,6 +57,7 @@ __all__ = [
     "filter_extension",
     "kmeans_1d",
     "kmeans_assign",
+    "kmeans_fit",
     "kmeans_init",
     "list_fields",
     "merge_indexes",

@@ -9,13 +9,6 @@ from pyspark.sql import functions as F
 ORDERS = ("tf", "df", "tfxidf")
 REPRESENTATIONS = ("bin", "tf", "tfxidf")
 
-# Scores are rounded before they are ranked, so that a result does not depend on
-# the order in which a cluster happens to add doubles.
-SCORE_DIGITS = 9
-
-# A dot product grows with the collection; nine places of a large one are noise.
-DOT_DIGITS = 6
-
 
 def check_choice(name: str, value: str, allowed: tuple[str, ...]) -> None:
     if value not in allowed:
@@ -40,7 +33,3 @@ def weight(rep: str, tf: Column, df: Column, n_docs: Column) -> Column:
     if rep == "tf":
         return tf.cast("double")
     return tf * idf(n_docs, df)
-
-
-def score(value: Column, digits: int = SCORE_DIGITS) -> Column:
-    return F.round(value, digits)

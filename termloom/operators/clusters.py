@@ -7,13 +7,18 @@ import logging
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.functions.weights import SCORE_DIGITS, score
 from termloom.operators.index import Index
 from termloom.operators.similarity import similar_terms
 from termloom.session import stage
 
 log = logging.getLogger(__name__)
 
+# Fixed value: the number of steps after which clustering is given up.
+MAX_STEPS = 100_000
+
+# A similarity is at most 1; sums of its first 18 places are exact in any order.
+EXACT = "decimal(20,18)"
+
 
 def kmeans_init(points: DataFrame, k: int, seed: int = 0) -> DataFrame:
     """(cluster, centroid): k distinct similarity values, drawn by seeded hash.
@@ -22,7 +27,7 @@ def kmeans_init(points: DataFrame, k: int, seed: int = 0) -> DataFrame:
     """
     if k < 1:
         raise ValueError(f"k must be at least 1; got {k}")
-    digits = F.round(F.col("similarity") * 10**SCORE_DIGITS).cast("bigint").cast("string")
+    digits = F.round(F.col("similarity") * 10**9).cast("bigint").cast("string")
     draw = F.md5(F.concat(F.lit(f"{seed}:"), digits))
     drawn = (
         points.filter(~F.isnan("similarity"))
@@ -51,14 +56,16 @@ def kmeans_assign(points: DataFrame, centroids: list[float]) -> DataFrame:
 
 
 def kmeans_fit(
-    points: DataFrame, k: int, seed: int = 0, max_iter: int = 100
+    points: DataFrame, k: int, seed: int = 0, max_iter: int = MAX_STEPS
 ) -> list[float]:
     """Centroids of Lloyd's algorithm, means at convergence.
 
     Every step is one aggregation over the distinct values, which are written
-    once; the driver holds k sums and counts.  On a line each cluster is a run of the ordered values, so
-    the assignment is stable as soon as the cluster sizes are.  A cluster that
-    has lost its members keeps its centroid.
+    once; the driver holds k sums and counts.  Sums are exact decimals, so a
+    result does not depend on the order of tasks.  On a line each cluster is a
+    run of the ordered values, so the assignment is stable as soon as the
+    cluster sizes are.  A cluster that has lost its members keeps its centroid.
+    No convergence within ``max_iter`` steps is an error.
     """
     counted = (
         points.filter(~F.isnan("similarity")).groupBy("similarity").agg(F.count("*").alias("n"))
@@ -72,7 +79,7 @@ def kmeans_fit(
         sums = (
             kmeans_assign(values, centroids)
             .groupBy("cluster")
-            .agg(F.sum("n").alias("n"), F.sum(F.col("similarity") * F.col("n")).alias("total"))
+            .agg(F.sum("n").alias("n"), F.sum(F.col("similarity").cast(EXACT) * F.col("n").cast("decimal(18,0)")).alias("total"))
             .collect()
         )
         found = {r["cluster"]: r for r in sums}
@@ -81,20 +88,17 @@ def kmeans_fit(
             return centroids
         sizes = new_sizes
         centroids = [
-            found[i]["total"] / found[i]["n"] if i in found else c
+            float(found[i]["total"] / found[i]["n"]) if i in found else c
             for i, c in enumerate(centroids)
         ]
-    log.warning("k-means stopped after %d steps without convergence", max_iter)
-    return centroids
+    raise RuntimeError(f"k-means did not converge within {max_iter} steps")
 
 
-def kmeans_1d(points: DataFrame, k: int, seed: int = 0, max_iter: int = 100) -> DataFrame:
+def kmeans_1d(points: DataFrame, k: int, seed: int = 0, max_iter: int = MAX_STEPS) -> DataFrame:
     """(cluster, centroid, term, similarity) of every point that is not NaN."""
     centroids = kmeans_fit(points, k, seed, max_iter)
     assigned = kmeans_assign(points.filter(~F.isnan("similarity")), centroids)
-    return assigned.select(
-        "cluster", score(F.col("centroid")).alias("centroid"), "term", "similarity"
-    )
+    return assigned.select("cluster", "centroid", "term", "similarity")
 
 
 def terms_clusters(
@@ -105,7 +109,7 @@ def terms_clusters(
     rep: str,
     k: int,
     seed: int = 0,
-    max_iter: int = 100,
+    max_iter: int = MAX_STEPS,
 ) -> DataFrame:
     """The ``top`` terms most similar to ``term``, in k clusters by similarity.
 
@@ -118,6 +122,14 @@ def terms_clusters(
     return kmeans_1d(points, k, seed, max_iter)
 
 
-def cluster_summary(clusters: DataFrame) -> DataFrame:
-    """(cluster, centroid, elements); the members stay rows of ``clusters``."""
-    return clusters.groupBy("cluster", "centroid").agg(F.count("*").alias("elements"))
+def cluster_summary(clusters: DataFrame, centroids: list[float]) -> DataFrame:
+    """(cluster, centroid, elements) of every cluster, those without members too.
+
+    ``centroids`` are those that ``clusters`` was assigned by; there are k of them.
+    """
+    numbered = [(i, float(c)) for i, c in enumerate(centroids)]
+    every = clusters.sparkSession.createDataFrame(numbered, "cluster int, centroid double")
+    counts = clusters.groupBy("cluster").agg(F.count("*").alias("elements"))
+    return every.join(counts, "cluster", "left").withColumn(
+        "elements", F.coalesce("elements", F.lit(0).cast("bigint"))
+    )

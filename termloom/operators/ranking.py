@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import format_term
-from termloom.functions.weights import ORDERS, check_choice, check_top, idf, score
+from termloom.functions.weights import ORDERS, check_choice, check_top, idf
 from termloom.operators.index import (
     BROADCAST_ROWS,
     Index,
@@ -22,7 +22,7 @@ def ranking_key(order: str) -> Column:
 
 
 def with_tfidf(rows: DataFrame, index: Index) -> DataFrame:
-    return rows.withColumn("tfidf", score(F.col("tf") * idf(F.lit(index.n_docs), F.col("df"))))
+    return rows.withColumn("tfidf", F.col("tf") * idf(F.lit(index.n_docs), F.col("df")))
 
 
 def best_terms(index: Index, doc_id: int, field: str, top: int, order: str) -> DataFrame:

@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from termloom.functions.weights import (
-    DOT_DIGITS,
     REPRESENTATIONS,
     check_choice,
     check_top,
     idf,
-    score,
     weight,
 )
 from termloom.operators.index import Index, field_vectors, term_rows
@@ -23,7 +21,7 @@ def term_weights(index: Index, field: str, rep: str) -> DataFrame:
     check_choice("rep", rep, REPRESENTATIONS)
     if rep == "tfxidf":
         rows = postings_with_df(index, field)
-        value = score(weight(rep, F.col("tf"), F.col("df"), F.lit(index.n_docs)))
+        value = weight(rep, F.col("tf"), F.col("df"), F.lit(index.n_docs))
     else:
         rows = term_rows(field_vectors(index.documents, index.spec, field), "doc_id")
         value = weight(rep, F.col("tf"), F.lit(None), F.lit(None))
@@ -45,7 +43,7 @@ def norm(rep: str, n_docs: Column) -> Column:
 
 def term_norms(index: Index, field: str, rep: str) -> DataFrame:
     """(term, norm) of every term of the field."""
-    value = score(norm(rep, F.lit(index.n_docs)))
+    value = norm(rep, F.lit(index.n_docs))
     return index.field_terms(field).select("term", value.alias("norm"))
 
 
@@ -97,7 +95,7 @@ def cosine_dot(index: Index, field: str, term: str, rep: str) -> DataFrame:
     query_idf = idf(F.lit(index.n_docs), F.lit(query["df"] if query else None))
     joined = shared.join(index.field_terms(field).select("term", "df"), "term")
     dot = F.col("tf_dot") * idf(F.lit(index.n_docs), F.col("df")) * query_idf
-    return joined.select("term", score(dot, DOT_DIGITS).alias("dot"))
+    return joined.select("term", dot.alias("dot"))
 
 
 def cosine_similarity(index: Index, field: str, term: str, rep: str) -> DataFrame:
@@ -119,7 +117,7 @@ def cosine_similarity(index: Index, field: str, term: str, rep: str) -> DataFram
     dots = co_occurrence(index, field, term, query["df"]).select("term", shared)
     joined = terms.join(dots, "term", "left")
     lengths = F.sqrt(F.col(own).cast("double")) * F.sqrt(F.lit(query[own]).cast("double"))
-    similarity = score(F.coalesce(F.col(shared), F.lit(0)) / lengths)
+    similarity = F.coalesce(F.col(shared), F.lit(0)) / lengths
     if rep == "tfxidf":
         everywhere = F.lit(query["df"] == query["n_docs"]) | (F.col("df") == query["n_docs"])
         similarity = F.when(everywhere, nan).otherwise(similarity)

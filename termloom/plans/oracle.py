@@ -12,6 +12,8 @@ from termloom.plans.queries import (
     EXTENSIONS,
     FIELD,
     K,
+    LONG_K,
+    LONG_TOP,
     N_CHARS,
     QUERY_TERM,
     TOP,
@@ -132,14 +134,14 @@ GROUP BY field"""
 
 
 def best_terms(order: str) -> str:
-    key = "round(tfidf, 9)" if order == "tfxidf" else order
+    key = "tfidf" if order == "tfxidf" else order
     return f"""{CORPUS}
 SELECT term, tf, df, round(tfidf, 9) AS tfidf FROM with_df WHERE doc_id = {DOC_ID}
 ORDER BY {key} DESC, term LIMIT {TOP}"""
 
 
 def best_terms_all_docs(order: str) -> str:
-    key = "round(tfidf, 9)" if order == "tfxidf" else order
+    key = "tfidf" if order == "tfxidf" else order
     return f"""{CORPUS},
 ranked AS (
   SELECT doc_id, term, tf, df, round(tfidf, 9) AS tfidf,
@@ -150,7 +152,13 @@ SELECT doc_id, CAST(rank AS INTEGER) AS rank, term, tf, df, tfidf
 FROM ranked WHERE rank <= {TOP_PER_DOC}"""
 
 
-def cosines(rep: str) -> str:
+# What a vector's length and dot product are roots and sums of, in whole numbers: the
+# cosine of two terms does not depend on the idf that all weights of one share.
+WHOLE = {"bin": "1", "tf": "tf", "tfxidf": "tf"}
+
+
+def cosines(rep: str, top: int = TOP) -> str:
+    nan = "q.df = n_docs OR s.df = n_docs" if rep == "tfxidf" else "false"
     return f"""{CORPUS},
 weights AS (SELECT term, doc_id, {WEIGHTS[rep]} AS w FROM with_df),
 query AS (SELECT doc_id, w AS qw FROM weights WHERE term = {quoted(QUERY_TERM)}),
@@ -159,14 +167,23 @@ query_norm AS (SELECT sqrt(sum(qw * qw)) AS qnorm FROM query),
 dots AS (
   SELECT term, sum(w * qw) AS dot FROM weights JOIN query USING (doc_id) GROUP BY term
 ),
+whole AS (SELECT term, doc_id, {WHOLE[rep]} AS w FROM with_df),
+own AS (SELECT term, count(*) AS df, sum(w * w) AS squares FROM whole GROUP BY term),
+whole_dots AS (
+  SELECT a.term, sum(a.w * b.w) AS dot
+  FROM whole a JOIN whole b USING (doc_id) WHERE b.term = {quoted(QUERY_TERM)} GROUP BY a.term
+),
 sims AS (
-  SELECT term, round(coalesce(dot, 0.0) / (norm * qnorm), 9) AS similarity
-  FROM norms CROSS JOIN query_norm LEFT JOIN dots USING (term)
+  SELECT s.term, CASE WHEN {nan} THEN 'nan'::DOUBLE ELSE CAST(coalesce(d.dot, 0) AS DOUBLE)
+    / (sqrt(CAST(s.squares AS DOUBLE)) * sqrt(CAST(q.squares AS DOUBLE))) END AS similarity
+  FROM own s CROSS JOIN n CROSS JOIN (SELECT * FROM own WHERE term = {quoted(QUERY_TERM)}) q
+  LEFT JOIN whole_dots d ON d.term = s.term
 ),
-top AS (SELECT term, similarity FROM sims ORDER BY similarity DESC, term LIMIT {TOP})"""
+top AS (SELECT term, similarity FROM sims ORDER BY similarity DESC, term LIMIT {top})"""
 
 
-INIT = f"""
+def init(k: int) -> str:
+    return f"""
 init AS (
   SELECT CAST(row_number() OVER (ORDER BY draw, similarity) - 1 AS INTEGER) AS cluster,
          similarity AS centroid
@@ -175,24 +192,30 @@ init AS (
            md5('0:' || CAST(CAST(round(similarity * 1000000000) AS BIGINT) AS VARCHAR)) AS draw
     FROM top
   )
-  ORDER BY draw, similarity LIMIT {K}
+  ORDER BY draw, similarity LIMIT {k}
 )"""
 
 
+INIT = init(K)
+
+
 def nearest(value: str, centroids: str) -> str:
     distances = f"list_transform({centroids}, lambda c: abs({value} - c))"
     return f"list_position({distances}, list_min({distances}))"
 
 
 # The means of the assigned values, step after step; a fixed point repeats itself.
-LLOYD = f"""
+def lloyd(k: int) -> str:
+    return f"""
 lloyd AS (
   SELECT 0 AS step, (SELECT list(similarity) FROM top) AS points,
-         (SELECT list(centroid ORDER BY cluster) FROM init) AS centroids
+         (SELECT list(centroid ORDER BY cluster) FROM init) AS centroids,
+         CAST(NULL AS DOUBLE[]) AS previous
   UNION ALL
-  SELECT step + 1, points, list_transform(range(1, {K + 1}), lambda i: coalesce(
-    list_avg(list_filter(points, lambda p: {nearest('p', 'centroids')} = i)), centroids[i]))
-  FROM lloyd WHERE step < 100
+  SELECT step + 1, points, list_transform(range(1, {k + 1}), lambda i: coalesce(
+    list_avg(list_filter(points, lambda p: {nearest('p', 'centroids')} = i)), centroids[i])),
+    centroids
+  FROM lloyd WHERE previous IS NULL OR previous <> centroids
 ),
 final AS (SELECT centroids FROM lloyd ORDER BY step DESC LIMIT 1),
 clusters AS (
@@ -203,6 +226,9 @@ clusters AS (
 )"""
 
 
+LLOYD = lloyd(K)
+
+
 def file_terms(label: str, texts: str) -> str:
     return f"""
 SELECT {label}, term, count(*) AS ttf
@@ -231,10 +257,8 @@ SELECT doc_id, CASE WHEN text = '' THEN '' ELSE array_to_string(list_transform(
   list_filter(lines, lambda line, i: i <= {TOP_LINES} OR i > len(lines) - {BOTTOM_LINES}),
   lambda line: line || chr(10)), '') END AS contents
 FROM (SELECT doc_id, text, {lines} AS lines FROM documents)""",
-        "decode_utf8": r"""
-SELECT doc_id, regexp_replace(regexp_replace(text, '[^\x{00}-\x{7F}\x{C0}-\x{FF}]', '', 'g'),
-                              '[\x{C0}-\x{FF}]', chr(65533), 'g') AS contents
-FROM documents""",
+        "decode_utf8": """
+SELECT doc_id, text || chr(65533) || text || chr(65533) AS contents FROM documents""",
         "doc_metadata": """
 SELECT doc_id, octet_length(encode(text)) AS n_bytes,
        CAST(octet_length(encode(text)) // 1024 AS FLOAT) AS size_kb,
@@ -274,16 +298,23 @@ UNION ALL SELECT 'n_chars', CAST(NULL AS VARCHAR)""",
         "postings_with_df": f"{CORPUS} SELECT term, doc_id, tf, df FROM with_df",
         "postings_lookup": f"""{CORPUS}
 SELECT doc_id, tf FROM contents WHERE term = {quoted(QUERY_TERM)}""",
-        "kmeans_init": f"{cosines('tfxidf')}, {INIT} SELECT cluster, centroid FROM init",
+        "kmeans_init": f"""{cosines('tfxidf')}, {INIT}
+SELECT cluster, round(centroid, 9) AS centroid FROM init""",
         "kmeans_assign": f"""{cosines('tfxidf')}, {INIT},
 start AS (SELECT list(centroid ORDER BY cluster) AS centroids FROM init)
 SELECT CAST({nearest('similarity', 'centroids')} - 1 AS INTEGER) AS cluster,
-       centroids[{nearest('similarity', 'centroids')}] AS centroid, term, similarity
+       round(centroids[{nearest('similarity', 'centroids')}], 9) AS centroid, term,
+       round(similarity, 9) AS similarity
 FROM top CROSS JOIN start""",
         "terms_clusters": f"""{cosines('tfxidf')}, {INIT}, {LLOYD}
-SELECT cluster, centroid, term, similarity FROM clusters""",
-        "cluster_summary": f"""{cosines('tfxidf')}, {INIT}, {LLOYD}
-SELECT cluster, centroid, count(*) AS elements FROM clusters GROUP BY cluster, centroid""",
+SELECT cluster, centroid, term, round(similarity, 9) AS similarity FROM clusters""",
+        "terms_clusters_long": f"""{cosines('tf', LONG_TOP)}, {init(LONG_K)}, {lloyd(LONG_K)}
+SELECT cluster, centroid, term, round(similarity, 9) AS similarity FROM clusters""",
+        "cluster_summary": f"""{cosines('tfxidf')}, {INIT}, {LLOYD},
+every AS (SELECT unnest(range({K})) AS i, centroids FROM final)
+SELECT CAST(i AS INTEGER) AS cluster, round(centroids[i + 1], 9) AS centroid,
+       (SELECT count(*) FROM clusters WHERE cluster = i) AS elements
+FROM every""",
         "merge_partial_indexes": all_fields(MERGED),
         "upsert_documents": f"""
 WITH {UPDATED}, {TOKENS}
@@ -315,8 +346,9 @@ SELECT term, doc_id, round({value}, 9) AS weight FROM with_df"""
         found[f"term_norms_{rep}"] = f"""{cosines(rep)}
 SELECT term, round(norm, 9) AS norm FROM norms"""
         found[f"cosine_dot_{rep}"] = f"{cosines(rep)} SELECT term, round(dot, 6) AS dot FROM dots"
-        found[f"cosine_similarity_{rep}"] = f"{cosines(rep)} SELECT term, similarity FROM sims"
-        found[f"similar_terms_{rep}"] = f"{cosines(rep)} SELECT term, similarity FROM top"
+        shown = "term, round(similarity, 9) AS similarity"
+        found[f"cosine_similarity_{rep}"] = f"{cosines(rep)} SELECT {shown} FROM sims"
+        found[f"similar_terms_{rep}"] = f"{cosines(rep)} SELECT {shown} FROM top"
     for order in ("tf", "df", "tfxidf"):
         found[f"best_terms_{order}"] = best_terms(order)
         found[f"best_terms_all_docs_{order}"] = best_terms_all_docs(order)

@@ -36,12 +36,18 @@ DOC_ID = 7
 TOP = 100
 TOP_PER_DOC = 5
 K = 4
+LONG_TOP, LONG_K = 3000, 8
 EXTENSIONS = [".html", ".htm", ".php", ".txt"]
 TOP_LINES, BOTTOM_LINES = 2, 1
 N_CHARS = (1000, 5000)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def rounded(df: DataFrame, **places: int) -> DataFrame:
+    """The columns rounded for the comparison with SQL; operators return raw doubles."""
+    return df.withColumns({name: F.round(name, n) for name, n in places.items()})
+
 _stored: dict[tuple[str, str, str], str] = {}
 
 
@@ -118,9 +124,10 @@ def q_line_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_decode_utf8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes in a one-byte encoding read as UTF-8: every accented letter is malformed."""
-    narrow = F.regexp_replace("text", r"[^\x{00}-\x{7F}\x{C0}-\x{FF}]", "")
-    decoded = decode_utf8(F.encode(narrow, "ISO-8859-1"))
+    """Each whole text twice in UTF-8, a cut-off and an impossible byte behind the copies."""
+    once_more = F.encode("text", "UTF-8")
+    raw = F.concat(once_more, F.unhex(F.lit("C3")), once_more, F.unhex(F.lit("FF")))
+    decoded = decode_utf8(raw)
     return read_table(spark, sf_dir, "documents").select("doc_id", decoded.alias("contents"))
 
 
@@ -154,7 +161,7 @@ def q_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_term_weight(rep: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.term_weights(corpus(spark, sf_dir), FIELD, rep)
+    return rounded(similarity.term_weights(corpus(spark, sf_dir), FIELD, rep), weight=9)
 
 
 def q_format_term(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +204,7 @@ def q_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_term_norms(rep: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.term_norms(corpus(spark, sf_dir), FIELD, rep)
+    return rounded(similarity.term_norms(corpus(spark, sf_dir), FIELD, rep), norm=9)
 
 
 def q_postings_with_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,49 +216,66 @@ def q_postings_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cosine_dot(rep: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.cosine_dot(corpus(spark, sf_dir), FIELD, QUERY_TERM, rep)
+    return rounded(similarity.cosine_dot(corpus(spark, sf_dir), FIELD, QUERY_TERM, rep), dot=6)
 
 
 def q_cosine_similarity(rep: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.cosine_similarity(corpus(spark, sf_dir), FIELD, QUERY_TERM, rep)
+    found = similarity.cosine_similarity(corpus(spark, sf_dir), FIELD, QUERY_TERM, rep)
+    return rounded(found, similarity=9)
 
 
 # Ranking and clusters
 
 
 def q_best_terms(order: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.best_terms(corpus(spark, sf_dir), DOC_ID, FIELD, TOP, order)
+    return rounded(ranking.best_terms(corpus(spark, sf_dir), DOC_ID, FIELD, TOP, order), tfidf=9)
 
 
 def q_best_terms_all_docs(order: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.best_terms_all_docs(corpus(spark, sf_dir), FIELD, TOP_PER_DOC, order)
+    found = ranking.best_terms_all_docs(corpus(spark, sf_dir), FIELD, TOP_PER_DOC, order)
+    return rounded(found, tfidf=9)
 
 
 def q_similar_terms(rep: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.similar_terms(corpus(spark, sf_dir), FIELD, QUERY_TERM, TOP, rep)
+    found = similarity.similar_terms(corpus(spark, sf_dir), FIELD, QUERY_TERM, TOP, rep)
+    return rounded(found, similarity=9)
 
 
 def ranked_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(q_similar_terms("tfxidf", spark, sf_dir), "similar-terms")
+    found = similarity.similar_terms(corpus(spark, sf_dir), FIELD, QUERY_TERM, TOP, "tfxidf")
+    return stage(found, "similar-terms")
 
 
 def q_kmeans_init(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.kmeans_init(ranked_points(spark, sf_dir), K)
+    return rounded(clusters.kmeans_init(ranked_points(spark, sf_dir), K), centroid=9)
 
 
 def q_kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first step: every point to its nearest initial centroid."""
     points = ranked_points(spark, sf_dir)
     start = clusters.kmeans_init(points, K).orderBy("cluster").collect()
-    return clusters.kmeans_assign(points, [r["centroid"] for r in start])
+    found = clusters.kmeans_assign(points, [r["centroid"] for r in start])
+    return rounded(found, centroid=9, similarity=9)
 
 
 def q_terms_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.terms_clusters(corpus(spark, sf_dir), FIELD, QUERY_TERM, TOP, "tfxidf", K)
+    found = clusters.terms_clusters(corpus(spark, sf_dir), FIELD, QUERY_TERM, TOP, "tfxidf", K)
+    return rounded(found, centroid=9, similarity=9)
+
+
+def q_terms_clusters_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A long list in many clusters, which takes many steps to settle."""
+    found = clusters.terms_clusters(
+        corpus(spark, sf_dir), FIELD, QUERY_TERM, LONG_TOP, "tf", LONG_K
+    )
+    return rounded(found, centroid=9, similarity=9)
 
 
 def q_cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.cluster_summary(q_terms_clusters(spark, sf_dir))
+    points = ranked_points(spark, sf_dir)
+    centroids = clusters.kmeans_fit(points, K)
+    summary = clusters.cluster_summary(clusters.kmeans_assign(points, centroids), centroids)
+    return rounded(summary, centroid=9)
 
 
 # Writing
@@ -363,6 +387,7 @@ def queries() -> dict[str, Query]:
         "kmeans_init": q_kmeans_init,
         "kmeans_assign": q_kmeans_assign,
         "terms_clusters": q_terms_clusters,
+        "terms_clusters_long": q_terms_clusters_long,
         "cluster_summary": q_cluster_summary,
         "merge_partial_indexes": q_merge_partial_indexes,
         "upsert_documents": q_upsert_documents,

@@ -70,7 +70,7 @@ def test_lookups(corpus):
 
 def test_best_terms(corpus):
     by = {o: pairs(tl.best_terms(corpus, 0, "contents", 2, o)) for o in ("tf", "df", "tfxidf")}
-    assert by["tf"] == [("apple", 2, 2, 0.602059991), ("banana", 1, 4, 0.0)]
+    assert by["tf"] == [("apple", 2, 2, 2 * math.log10(2)), ("banana", 1, 4, 0.0)]
     assert [r[0] for r in by["df"]] == ["banana", "apple"]
     assert [r[0] for r in by["tfxidf"]] == ["apple", "banana"]
     assert [r[0] for r in pairs(tl.best_terms(corpus, 3, "contents", 2, "tf"))] == ["3,000.5", "a1"]
@@ -189,9 +189,34 @@ def test_kmeans_fixed_point(spark, monkeypatch):
     values = [1.0, 0.9, 0.2, 0.1, 0.1]
     start = spark.createDataFrame([(0, 1.0), (1, 0.1)], "cluster int, centroid double")
     monkeypatch.setattr(clusters, "kmeans_init", lambda *_: start)
-    found = tl.kmeans_1d(points(spark, values), 2)
-    summary = sorted(pairs(tl.cluster_summary(found)))
-    assert summary == [(0, 0.95, 2), (1, 0.133333333, 3)]
+    fitted = tl.kmeans_fit(points(spark, values), 2)
+    found = tl.kmeans_assign(points(spark, values), fitted)
+    summary = sorted(pairs(tl.cluster_summary(found, fitted)))
+    assert [s[0::2] for s in summary] == [(0, 2), (1, 3)]
+    assert [s[1] for s in summary] == pytest.approx([0.95, 0.4 / 3])
+
+
+def test_summary_reports_clusters_without_members(spark):
+    found = tl.kmeans_assign(points(spark, [0.1, 0.2, 0.9]), [0.15, 0.5, 0.9])
+    summary = sorted(pairs(tl.cluster_summary(found, [0.15, 0.5, 0.9])))
+    assert summary == [(0, 0.15, 2), (1, 0.5, 0), (2, 0.9, 1)]
+
+
+def test_kmeans_without_convergence_is_an_error(spark):
+    values = [round(((i * 37) % 101) / 101, 9) for i in range(60)]
+    with pytest.raises(RuntimeError, match="did not converge"):
+        tl.kmeans_fit(points(spark, values), 4, max_iter=1)
+
+
+def test_close_cosines_rank_by_their_raw_value(spark):
+    """Two similarities that agree in nine places: the smaller one has the earlier name."""
+    rows = spark.createDataFrame(
+        [(0, "q " * 1_000 + "b " * 1_000 + "a " * 1_000), (1, "a")], "doc_id bigint, contents string"
+    )
+    index = tl.build_index(rows, tl.IndexSpec(text=("contents",)))
+    found = pairs(tl.similar_terms(index, "contents", "q", 3, "tf"))
+    assert [t for t, _ in found] == ["b", "q", "a"]
+    assert 0 < found[1][1] - found[2][1] < 1e-6
 
 
 def test_kmeans_is_a_lloyd_fixed_point(spark):
