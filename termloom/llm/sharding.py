@@ -98,6 +98,29 @@ def propagate(linked: DataFrame, shards: int, capacity: float, rounds: int = ROU
     return state.select("row", "shard")
 
 
+def within_capacity(placed: DataFrame, shards: int, capacity: float) -> DataFrame:
+    """The rows (row, shard, size) that fit; what grants by hash let in too much leaves.
+
+    Rows leave by hash parts, so a shard keeps its capacity up to one part.
+    """
+    loads = _loads(placed, shards)
+    over = [k for k, n in enumerate(loads) if n > capacity]
+    if not over:
+        return placed
+    part = F.floor(unit("row", F.lit(11)) * PARTS).cast("int")
+    sums = placed.filter(F.col("shard").isin(over)).groupBy("shard", part.alias("part")).agg(
+        F.sum("size").alias("n")
+    ).collect()  # PARTS rows a shard at most
+    last = [PARTS] * shards
+    held = dict.fromkeys(over, 0)
+    for r in sorted(sums, key=lambda r: (r["shard"], r["part"])):
+        held[r["shard"]] += r["n"]
+        if held[r["shard"]] > capacity:
+            last[r["shard"]] = min(last[r["shard"]], r["part"])
+    limit = F.element_at(F.array(*[F.lit(n) for n in last]), F.col("shard") + 1)
+    return placed.filter(part < limit)
+
+
 def level(loads: list[int], amount: int) -> list[float]:
     """How much each shard gets of an amount so that the lowest loads rise to one level."""
     order = sorted(loads)
@@ -191,9 +214,9 @@ def shard_documents(docs: DataFrame, shards: int = 24, text: str = "text") -> Da
     several = nodes.filter("grp is not null").groupBy("grp").agg(F.count("*").alias("n")).filter("n > 1")
     several = stage(several.select("grp"), "shard-groups")
     slim = nodes.select("row", "grp", "size")
-    linked = propagate(slim.join(several, "grp"), shards, capacity)
-    linked = stage(linked, "shard-linked")
-    sizes = linked.join(slim.select("row", "size"), "row")
+    linked = propagate(slim.join(several, "grp"), shards, capacity).join(slim.select("row", "size"), "row")
+    sizes = stage(within_capacity(linked.select("row", "shard", "size"), shards, capacity), "shard-linked")
+    linked = sizes.select("row", "shard")
     free = nodes.select("row", "size").join(linked, "row", "left_anti")
     free = stage(fill(stage(free, "shard-free"), _loads(sizes, shards), capacity), "shard-filled")
     labels = linked.union(free)
