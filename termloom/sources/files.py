@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.metadata import readable_date, size_kb, sortable_date, utc
 from termloom.functions.text import decode_utf8, extension, line_window
 from termloom.operators.index import IndexSpec
+from termloom.session import stage
 
 FILE_SPEC = IndexSpec(
     text=("contents",),
@@ -29,12 +33,114 @@ def name_glob(extensions: list[str]) -> str | None:
     return "*{" + ",".join(extensions) + "}" if extensions and plain else None
 
 
+LISTING = "path string, is_dir boolean, length bigint, modificationTime timestamp"
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def _opened(path: str) -> tuple[fs.FileSystem, str, str]:
+    """(file system, path in it, prefix that makes a path of it a URI again)."""
+    plain = path.removeprefix("file:") if path.startswith("file:") else path
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), "/" + plain.lstrip("/"), "file:"
+    system, inner = fs.FileSystem.from_uri(path)
+    return system, inner, path[: len(path) - len(inner)]
+
+
+def _listed(paths: DataFrame) -> DataFrame:
+    """What lies directly in each folder, listed in tasks; unreadable folders are empty."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                system, inner, prefix = _opened(path)
+                try:
+                    found = system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+                except OSError:
+                    continue
+                kinds = (fs.FileType.Directory, fs.FileType.File)
+                found = [f for f in found if f.type in kinds]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([prefix + f.path for f in found], pa.string()),
+                        pa.array([f.type == fs.FileType.Directory for f in found], pa.bool_()),
+                        pa.array([f.size for f in found], pa.int64()),
+                        pa.array([f.mtime for f in found], pa.timestamp("us", tz="UTC")),
+                    ],
+                    names=["path", "is_dir", "length", "modificationTime"],
+                )
+
+    return paths.mapInArrow(work, LISTING)
+
+
+# Fixed value: the file and folder names that Spark's file sources skip.
+SKIPPED = r"(^|/)(\.[^/]*|_(?!metadata|common_metadata)[^/=]*|[^/]*\._COPYING_)(/|$)"
+
+
+def hidden(path: Column, root: str) -> Column:
+    """Whether Spark's reader skips a name in the path below ``root``."""
+    return F.substring(path, len(root) + 1, 1 << 30).rlike(SKIPPED)
+
+
+def refused_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files below ``root`` that Spark's reader leaves out: hidden and empty ones.
+
+    Folders are listed level by level in tasks, and the files are read in tasks.
+    """
+    system, inner, prefix = _opened(root)
+    start = system.get_file_info(inner)
+    here = prefix + inner.rstrip("/")
+    if start.type == fs.FileType.File:
+        row = [(here, False, start.size, start.mtime)]
+        files = spark.createDataFrame(row, LISTING)
+        here = here.rsplit("/", 1)[0]  # a file's own name counts
+    else:
+        level = stage(_listed(spark.createDataFrame([(here,)], "path string")), "files-level")
+        files = level
+        while level.filter("is_dir").limit(1).count():
+            level = stage(_listed(level.filter("is_dir").select("path")), "files-level")
+            files = files.union(level)
+    wanted = files.filter("not is_dir").filter(hidden(F.col("path"), here) | (F.col("length") == 0))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, path in enumerate(batch.column(0).to_pylist()):
+                system, inner, _ = _opened(path)
+                try:
+                    with system.open_input_stream(inner) as opened:
+                        content = opened.read()
+                except OSError:
+                    continue
+                one = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [one.column(0), one.column(3), one.column(2), pa.array([content], pa.binary())],
+                    names=["path", "modificationTime", "length", "content"],
+                )
+
+    return wanted.select("path", "is_dir", "length", "modificationTime").mapInArrow(read, FILE)
+
+
 def scan_root(spark: SparkSession, root: str, only_extensions: list[str] | None) -> DataFrame:
-    """The files below ``root``, or the one file it names.
+    """Every file below ``root``, or the one file it names; hidden and empty files too.
 
     Files that vanish or cannot be read are left out.  A listed extension is
     used on the listing, before a file is opened, wherever that is exact.
     """
+    try:
+        _opened(root)
+    except (OSError, ValueError, pa.ArrowException):
+        # Only Spark's reader reaches this store: hidden and empty files stay out.
+        return _seen_files(spark, root, only_extensions)
+    seen = _seen_files(spark, root, only_extensions)  # an error if there is no such root
+    refused = refused_files(spark, root)
+    if only_extensions is not None:
+        refused = filter_extension(refused, only_extensions)
+    return seen.filter(F.col("length") > 0).unionByName(refused)
+
+
+def _seen_files(
+    spark: SparkSession, root: str, only_extensions: list[str] | None
+) -> DataFrame:
+    """What Spark's reader finds."""
     reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

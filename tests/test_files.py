@@ -27,14 +27,13 @@ def tree(tmp_path):
     return str(tmp_path)
 
 
-# Spark's file sources skip files of length zero, so "empty.txt" is never a row.
 def names(df):
     return sorted(r["path"].rsplit("/", 1)[1] for r in df.select("path").collect())
 
 
 def test_scan_is_recursive_and_has_metadata(spark, tree):
     found = tl.scan_files(spark, tree)
-    assert names(found) == ["D.TXT", "a.txt", "b.py", "c.txt", "plain"]
+    assert names(found) == ["D.TXT", "a.txt", "b.py", "c.txt", "empty.txt", "plain"]
     rows = {r["path"].rsplit("/", 1)[1]: r for r in found.collect()}
     a = rows["a.txt"]
     assert (a["modified"], a["modified_str"]) == (1577836799000, "1577836799000")
@@ -42,7 +41,8 @@ def test_scan_is_recursive_and_has_metadata(spark, tree):
     assert a["last_modified_sortable"] == "20191231235959"
     assert (rows["c.txt"]["size_kb"], rows["c.txt"]["size_kb_str"]) == (3.0, "3.0")
     assert rows["plain"]["contents"] == "café ÿ�!"
-    assert len({r["doc_id"] for r in rows.values()}) == 5
+    assert len({r["doc_id"] for r in rows.values()}) == 6
+    assert rows["empty.txt"]["contents"] == ""
 
 
 def test_single_file_and_missing_root(spark, tree):
@@ -53,17 +53,32 @@ def test_single_file_and_missing_root(spark, tree):
         tl.scan_files(spark, [])
 
 
+def test_hidden_and_empty_files_are_documents(spark, tmp_path):
+    for name in ("a.py", "pkg/__init__.py", "pkg/_private.py", ".hidden.py", "empty.py", "_pkg/x.py"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if name == "empty.py" else name.encode())
+    found = tl.scan_files(spark, str(tmp_path), only_extensions=[".py"])
+    assert {r["contents"] for r in found.select("contents").collect()} == {
+        "a.py", "pkg/__init__.py", "pkg/_private.py", ".hidden.py", "", "_pkg/x.py"
+    }
+    assert found.count() == 6
+    one = tl.scan_files(spark, f"{tmp_path}/pkg/__init__.py").collect()
+    assert [r["contents"] for r in one] == ["pkg/__init__.py"]
+    uri = tl.scan_files(spark, f"file://{tmp_path}/_pkg")
+    assert names(uri) == ["x.py"] and uri.first()["path"].startswith("file:/")
+
+
 def test_several_roots_are_not_compared(spark, tree):
     found = tl.scan_files(spark, [tree, f"{tree}/sub.d"])
     assert names(found).count("c.txt") == 2
-    assert found.select("doc_id").distinct().count() == found.count() == 7
+    assert found.select("doc_id").distinct().count() == found.count() == 8
 
 
 @pytest.mark.parametrize(
     ("extensions", "kept"),
     [
-        ([".txt"], ["a.txt", "c.txt"]),
-        ([".txt", ".py"], ["a.txt", "b.py", "c.txt"]),
+        ([".txt"], ["a.txt", "c.txt", "empty.txt"]),
+        ([".txt", ".py"], ["a.txt", "b.py", "c.txt", "empty.txt"]),
         ([".d/plain"], ["plain"]),
         ([], []),
     ],
@@ -88,7 +103,7 @@ def test_files_to_index_and_update(spark, tree):
     path = new_path(spark, "files")
     found = tl.write_index(tl.scan_files(spark, tree), tl.FILE_SPEC, path)
     stats = {r["field"]: r for r in tl.all_field_stats(found).collect()}
-    assert stats["path"]["doc_count"] == stats["contents"]["max_doc"] == 5
+    assert stats["path"]["doc_count"] == stats["contents"]["max_doc"] == 6
     assert stats["contents"]["doc_count"] == 5
     with open(f"{tree}/b.py", "w") as file:
         file.write("changed text")
@@ -96,4 +111,4 @@ def test_files_to_index_and_update(spark, tree):
     found = tl.write_index(again, tl.FILE_SPEC, path, "append", update=True)
     rows = found.documents.filter(F.col("path").endswith("b.py")).select("contents.terms").collect()
     assert [r["terms"] for r in rows] == [["changed", "text"]]
-    assert found.documents.count() == 5
+    assert found.documents.count() == 6
