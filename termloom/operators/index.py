@@ -62,6 +62,8 @@ class Index:
     ``field_counts`` field, doc_count, sum_total_term_freq, sum_doc_freq
     ``n_docs``     number of documents, with or without terms
     ``sizes``      size of every field with terms, if the index is stored
+    ``term_parts`` statistics that are still to be summed by term, a part for each
+                   batch of a stored index of several
     """
 
     spec: IndexSpec
@@ -71,6 +73,7 @@ class Index:
     field_counts: DataFrame
     n_docs: Column
     sizes: dict[str, FieldSize] | None = None
+    term_parts: DataFrame | None = None
 
     @property
     def stored(self) -> bool:
@@ -84,6 +87,12 @@ class Index:
         self.spec.check_field(field)
         return self.term_stats.filter(F.col("field") == field).drop("field")
 
+    def field_parts(self, field: str) -> DataFrame:
+        """Term statistics with one row for each term and part."""
+        self.spec.check_field(field)
+        parts = self.term_stats if self.term_parts is None else self.term_parts
+        return parts.filter(F.col("field") == field).drop("field")
+
 
 def analyse_documents(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     """Turn each text column into its term vector.

@@ -25,6 +25,13 @@ def with_tfidf(rows: DataFrame, index: Index) -> DataFrame:
     return rows.withColumn("tfidf", F.col("tf") * idf(F.lit(index.n_docs), F.col("df")))
 
 
+def by_frequency() -> Column:
+    """A vector's places, the most frequent first, equal ones in term order."""
+    return F.sort_array(
+        F.zip_with("tfs", "terms", lambda tf, t: F.struct((-tf).alias("key"), t.alias("term")))
+    )
+
+
 def best_terms(index: Index, doc_id: int, field: str, top: int, order: str) -> DataFrame:
     """The ``top`` terms of a document; equal keys in term order, cut at ``top``.
 
@@ -37,11 +44,19 @@ def best_terms(index: Index, doc_id: int, field: str, top: int, order: str) -> D
     size = vector.select(F.size("terms")).first()
     if size is None:
         raise ValueError(f"document {doc_id} has no terms in field {field!r}")
+    if order == "tf":
+        # The frequencies are in the row already: look up only what will be shown.
+        terms = F.transform(F.slice(by_frequency(), 1, top), lambda x: x["term"])
+        tfs = F.transform(F.slice(by_frequency(), 1, top), lambda x: -x["key"])
+        vector = vector.select(terms.alias("terms"), tfs.alias("tfs"))
     rows = term_rows(vector)
     if size[0] <= BROADCAST_ROWS:
         rows = F.broadcast(rows)
-    stats = index.field_terms(field).select("term", "df")
-    ranked = with_tfidf(stats.join(rows, "term"), index)
+    # Every part of the statistics meets the document's terms before the sum, so no
+    # vocabulary is added up for the sake of one document.
+    parts = index.field_parts(field).select("term", "df").join(rows, "term")
+    stats = parts.groupBy("term", "tf").agg(F.sum("df").alias("df"))
+    ranked = with_tfidf(stats, index)
     return ranked.select("term", "tf", "df", "tfidf").orderBy(key.desc(), "term").limit(top)
 
 
@@ -52,10 +67,7 @@ def best_terms_all_docs(index: Index, field: str, top: int, order: str) -> DataF
     vectors = field_vectors(index.documents, index.spec, field)
     if order == "tf":
         # The frequencies are in the row already: cut there, join what is left.
-        by_tf = F.sort_array(
-            F.zip_with("tfs", "terms", lambda tf, t: F.struct((-tf).alias("key"), t.alias("term")))
-        )
-        ranked = vectors.select("doc_id", F.slice(by_tf, 1, top).alias("best")).select(
+        ranked = vectors.select("doc_id", F.slice(by_frequency(), 1, top).alias("best")).select(
             "doc_id", F.posexplode("best").alias("pos", "best")
         )
         rows = ranked.select(

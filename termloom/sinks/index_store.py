@@ -367,6 +367,7 @@ def open_index(spark: SparkSession, path: str, manifest: Manifest) -> Index:
         field_counts=stored_field_counts(spark, path, manifest.generation),
         n_docs=F.lit(sum(b["n_docs"] for b in batches)),
         sizes=sizes,
+        term_parts=stats,
     )
 
 

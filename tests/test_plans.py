@@ -94,3 +94,15 @@ def test_a_large_vocabulary_is_not_broadcast_whole(stored, monkeypatch):
     monkeypatch.setattr(index, "BROADCAST_ROWS", 3)
     text = plan(tl.postings_with_df(stored, "contents"))
     assert "LeftAnti" in text and "Union" in text
+
+
+@pytest.mark.parametrize("order", ["tf", "df", "tfxidf"])
+def test_best_terms_join_before_parts_are_summed(spark, order):
+    path = new_path(spark, "two-batches")
+    tl.write_index(docs(spark), SPEC, path)
+    more = docs(spark, ["banana banana", "apple cherry"], first_id=10, paths=["x", "y"])
+    found = tl.write_index(more, SPEC, path, "append")
+    below_the_join = plan(tl.best_terms(found, 0, "contents", 2, order)).split("BroadcastHashJoin", 1)[1]
+    assert "Exchange hashpartitioning" not in below_the_join
+    best = {r["term"]: r["df"] for r in tl.best_terms(found, 0, "contents", 2, order).collect()}
+    assert best == {"banana": 5, "apple": 3}
