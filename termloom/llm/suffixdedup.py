@@ -36,7 +36,8 @@ from termloom.session import stage
 
 SPAN = 50
 GRAM = 20
-SHARD_BYTES = 6_000_000
+#: Text of one shard: the sort keeps some hundred bytes a byte in numpy arrays.
+SHARD_BYTES = 1_500_000
 #: Shared pieces that tasks may hold as a sorted array; more of them are joined.
 MAX_SHARED = 4_000_000
 
