@@ -48,10 +48,19 @@ class RunQueue:
                     run[i] = (at, len(part[0]))
         self.held = 0
 
-    def pop(self, char: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """All runs of a byte so far, oldest first."""
-        out, self.runs[char] = self.runs[char], []
-        return [self._load(part) for part in out]
+    def pop(self, char: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """The oldest tuples of a byte, up to the limit in one; None if there are none."""
+        run = self.runs[char]
+        if not run:
+            return None
+        n = size = 0
+        while n < len(run) and (not n or size < self.limit):
+            size += len(run[n][0]) if isinstance(run[n][0], np.ndarray) else run[n][1]
+            n += 1
+        parts, self.runs[char] = [self._load(part) for part in run[:n]], run[n:]
+        if len(parts) == 1:
+            return parts[0]
+        return np.concatenate([p for p, _ in parts]), np.concatenate([v for _, v in parts])
 
     def _load(self, part: tuple) -> tuple[np.ndarray, np.ndarray]:
         if isinstance(part[0], np.ndarray):
@@ -97,12 +106,12 @@ class InducedSort:
     """The suffixes of texts (each ended by ``SEPARATOR``) over bytes shifted by one."""
 
     def __init__(self, text: np.ndarray, cap: int, held: int = HELD):
-        self.text, self.cap, self.held = text, cap, held
+        self.text, self.cap, self.held, self.carried = text, cap, held, True
         n = len(text)
         down = np.zeros(n, dtype=bool)  # L: larger than the next suffix
         if n > 1:
             change = np.flatnonzero(text[:-1] != text[1:])
-            run = np.searchsorted(change, np.arange(n - 1))
+            run = np.cumsum(text[:-1] != text[1:]) - (text[:-1] != text[1:])
             at = change[np.minimum(run, max(len(change) - 1, 0))] if len(change) else np.zeros(n - 1, int)
             down[:-1] = (run < len(change)) & (text[at] > text[np.minimum(at + 1, n - 1)])
         down[text == SEPARATOR] = False
@@ -131,6 +140,9 @@ class InducedSort:
             return
         before = positions - 1
         ok = np.flatnonzero((positions > 0) & (self.down[before] == want) & (self.text[before] != SEPARATOR))
+        if not self.carried:
+            self._deal(queue, before[ok], self.text[before[ok]])
+            return
         table = _range_minimum(prefixes)
         lowest = int(prefixes.min())
         if not len(ok):
@@ -156,6 +168,18 @@ class InducedSort:
         for c, i, j in zip(seen.tolist(), starts.tolist(), ends.tolist(), strict=True):
             queue.push(c, found[i:j], value[i:j])
 
+    def _deal(self, queue: RunQueue, found: np.ndarray, chars: np.ndarray) -> None:
+        """Put positions into the queue without common prefixes."""
+        if not len(found):
+            return
+        order = np.argsort(chars, kind="stable")
+        found, chars = found[order], chars[order]
+        starts = np.flatnonzero(np.append(True, chars[1:] != chars[:-1]))
+        none = np.zeros(len(found), dtype=np.uint8)
+        ends = np.append(starts[1:], len(chars))
+        for i, j in zip(starts.tolist(), ends.tolist(), strict=True):
+            queue.push(int(chars[i]), found[i:j], none[i:j])
+
     def passes(self, seeds: np.ndarray, prefixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All suffixes but the separators, descending, with the common prefix to the one before."""
         text = self.text
@@ -164,12 +188,12 @@ class InducedSort:
         queue, carry = RunQueue(self.held), np.zeros(ALPHABET, dtype=np.uint8)
         for c in range(ALPHABET):
             last = None
-            while runs := queue.pop(c):
-                for part, lcp in runs:
-                    lcp = lcp if last is not None else _first_apart(lcp)
-                    rising[c].append((part, lcp))
-                    self._induce(queue, carry, part, lcp, True)
-                    last = part[-1:]
+            while found := queue.pop(c):
+                part, lcp = found
+                lcp = lcp if last is not None else _first_apart(lcp)
+                rising[c].append((part, lcp))
+                self._induce(queue, carry, part, lcp, True)
+                last = part[-1:]
             part = seeds[bounds[c] : bounds[c + 1]]
             if len(part):
                 lcp = prefixes[bounds[c] : bounds[c + 1]].copy()
@@ -180,12 +204,12 @@ class InducedSort:
         out: list[tuple[np.ndarray, np.ndarray]] = []
         for c in range(ALPHABET - 1, SEPARATOR, -1):
             last = None
-            while runs := queue.pop(c):
-                for part, lcp in runs:
-                    lcp = lcp if last is not None else _first_apart(lcp)
-                    out.append((part, lcp))
-                    self._induce(queue, carry, part, lcp, False)
-                    last = part[-1:]
+            while found := queue.pop(c):
+                part, lcp = found
+                lcp = lcp if last is not None else _first_apart(lcp)
+                out.append((part, lcp))
+                self._induce(queue, carry, part, lcp, False)
+                last = part[-1:]
             if rising[c]:
                 part = np.concatenate([p for p, _ in rising[c]])[::-1]
                 lcp = np.concatenate([v for _, v in rising[c]])
@@ -209,7 +233,9 @@ class InducedSort:
             return ends
         # Pieces between neighbours, sorted by inducing from seeds that are in no order.
         loose = np.concatenate([ends, inner[np.argsort(self.text[inner], kind="stable")]])
+        self.carried = False
         falling, _ = self.passes(loose, np.zeros(len(loose), dtype=np.uint8))
+        self.carried = True
         pieces = falling[self.star[falling]][::-1]
         following = stars[np.searchsorted(stars, pieces) + 1]
         content = mix(hashes(sums, pieces, following + 1) ^ (following - pieces).astype(np.uint64))

@@ -156,7 +156,7 @@ def earlier_parts(different: DataFrame, shards: int, span: int) -> DataFrame:
         same = prefixes >= span
         # Runs of equal strings, and the smallest id in each.
         run = np.cumsum(~same)
-        owner = np.searchsorted(ends, positions, side="right")
+        owner = np.repeat(np.arange(len(ends), dtype=np.int32), sizes)[positions]
         least = np.full(int(run[-1]) + 1 if len(run) else 1, np.iinfo(np.int64).max)
         first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
         least[run[first]] = np.minimum.reduceat(ids[owner], first)
