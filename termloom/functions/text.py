@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -14,8 +15,14 @@ MID_LETTER = ":\u00b7\u0387\u05f4\u2027\ufe13\ufe55\uff1a"
 MID_NUM = ",;\u037e\u0589\u060c\u060d\u066c\u07f8\u2044\ufe10\ufe14\ufe50\ufe54\uff0c\uff1b"
 MAX_TOKEN_LENGTH = 255
 SIMPLE_LOWER = {"İ": "i", "Σ": "σ"}
+CONNECTORS = "_\u203f\u2040\u2054\ufe33\ufe34\ufe4d\ufe4e\ufe4f\uff3f\u202f"
 
-LETTER = r"[\p{L}\p{M}]"
+LETTER = r"[\p{L}\p{M}\p{Nl}]"
+# Format characters belong to the word before them; the zero-width space parts words.
+FORMATS = "".join(
+    chr(c) for c in range(0x110000) if c != 0x200B and unicodedata.category(chr(c)) == "Cf"
+)
+FORMAT = r"\p{Cf}&&[^\x{200B}]"
 # The general categories of all of these come first: one test rules out a space.
 JOINER = r"\p{Po}\p{Pi}\p{Pf}\p{Sm}"
 JOINS_LETTERS = f"[{JOINER}&&[{MID_NUM_LET}{MID_LETTER}]]"
@@ -25,7 +32,7 @@ JOINS_DIGITS = f"[{JOINER}&&[{MID_NUM_LET}{MID_NUM}]]"
 # two letters or two digits.  No quantified group, so a hostile document cannot
 # make the regex engine recurse.
 SEPARATOR = (
-    r"[^\p{L}\p{M}\p{Nd}_]"
+    rf"[^\p{{L}}\p{{M}}\p{{Nl}}\p{{Nd}}{CONNECTORS}[{FORMAT}]]"
     rf"(?<!{LETTER}{JOINS_LETTERS}(?={LETTER}))"
     rf"(?<!\p{{Nd}}{JOINS_DIGITS}(?=\p{{Nd}}))"
 )
@@ -46,8 +53,17 @@ def lower_simple(text: Column) -> Column:
 
 
 def is_word(piece: Column) -> Column:
-    """What lies between separators is a word unless it is empty or underscores only."""
-    return F.ltrim(piece, F.lit("_")) != ""
+    """What lies between separators is a word unless connectors and format characters are all."""
+    return F.ltrim(piece, F.lit(CONNECTORS + FORMATS)) != ""
+
+
+def without_loose_format(pieces: Column) -> Column:
+    """Format characters in front of a piece follow no word and belong to none."""
+    front = rf"^[{FORMAT}]+"
+    return F.when(
+        F.exists(pieces, lambda p: p.rlike(front)),
+        F.transform(pieces, lambda p: F.regexp_replace(p, front, "")),
+    ).otherwise(pieces)
 
 
 def tokenize(text: Column) -> Column:
@@ -56,7 +72,7 @@ def tokenize(text: Column) -> Column:
     Ideographs stand alone; tokens longer than the limit are cut into pieces.
     """
     spaced = F.regexp_replace(lower_simple(text), IDEOGRAPH, " $1 ")
-    words = F.filter(F.split(spaced, SEPARATOR), is_word)
+    words = F.filter(let(F.split(spaced, SEPARATOR), without_loose_format), is_word)
 
     def chop(word: Column) -> Column:
         pieces = F.regexp_extract_all(word, F.lit(rf"(?s).{{1,{MAX_TOKEN_LENGTH}}}"), F.lit(0))

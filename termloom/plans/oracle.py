@@ -29,9 +29,19 @@ JOINS_DIGITS = (
     r"\x{FE10}\x{FE14}\x{FE50}\x{FE54}\x{FF0C}\x{FF1B}"
 )
 
-WORD = rf"[\p{{L}}\p{{M}}]+(?:[{JOINS_BOTH}{JOINS_LETTERS}][\p{{L}}\p{{M}}]+)*"
-NUMBER = rf"\p{{Nd}}+(?:[{JOINS_BOTH}{JOINS_DIGITS}]\p{{Nd}}+)*"
-TOKEN = rf"_*(?:{WORD}|{NUMBER})(?:{WORD}|{NUMBER}|_)*"
+CONNECTS = r"_\x{203F}\x{2040}\x{2054}\x{FE33}\x{FE34}\x{FE4D}\x{FE4E}\x{FE4F}\x{FF3F}\x{202F}"
+# Format characters but the zero-width space; they follow what they belong to.
+FORMATS = (
+    r"\x{AD}\x{600}-\x{605}\x{61C}\x{6DD}\x{70F}\x{180E}\x{200C}-\x{200F}\x{202A}-\x{202E}"
+    r"\x{2060}-\x{2064}\x{2066}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFB}"
+)
+LETTERS = r"\p{L}\p{M}\p{Nl}"
+
+WORD = (
+    rf"[{LETTERS}]+(?:[{FORMATS}]+[{LETTERS}]+|[{JOINS_BOTH}{JOINS_LETTERS}][{LETTERS}]+)*[{FORMATS}]*"
+)
+NUMBER = rf"\p{{Nd}}+(?:[{FORMATS}]+\p{{Nd}}+|[{JOINS_BOTH}{JOINS_DIGITS}]\p{{Nd}}+)*[{FORMATS}]*"
+TOKEN = rf"(?:[{CONNECTS}][{FORMATS}]*)*(?:{WORD}|{NUMBER})(?:{WORD}|{NUMBER}|[{CONNECTS}][{FORMATS}]*)*"
 
 
 def quoted(text: str) -> str:

@@ -32,6 +32,8 @@ def evaluate(spark, texts, expression, kind="string"):
         ("ΑΣ İx", "ασ ix"),
         ("中国ab 日本", "中 国 ab 日 本"),
         ("  ...  __ ' ", ""),
+        ("foo\u203fbar \u203f Ⅷ ⅷx", "foo\u203fbar ⅷ ⅷx"),
+        ("co\u00adoperate \u00adx می\u200cروم a\u200bb", "co\u00adoperate x می\u200cروم a b"),
         ("", ""),
     ],
 )
@@ -52,7 +54,7 @@ def test_hostile_tokens(spark):
 
 def test_tokens_agree_with_sql_on_random_text(spark):
     rng = random.Random(7)
-    alphabet = "aZé1٣_.:,;'’·-  \ńß中"
+    alphabet = "aZé1٣_.:,;'’·-  \ńß中\u203fⅧ\u00ad\u200c\u200b"
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(2000)]
     con = duckdb.connect()
     con.execute("CREATE TABLE t (i INTEGER, text VARCHAR)")
