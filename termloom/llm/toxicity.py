@@ -52,18 +52,32 @@ def byte_pairs(
     sizes = ends - starts + 1
     first = np.cumsum(sizes) - sizes
     right_at = np.arange(sizes.sum()) + np.repeat(starts - first, sizes)
-    low = np.append(LOWER[data], np.uint8(0)).astype(np.int32)
-    left, right = low[right_at - 1], low[np.minimum(right_at, len(low) - 1)]
+    last = max(len(data) - 1, 0)
+    left = LOWER[data[np.clip(right_at - 1, 0, last)]].astype(np.int32)
+    right = LOWER[data[np.minimum(right_at, last)]].astype(np.int32)
     left[first] = 1
     right[first + sizes - 1] = 2
     return (left * 769 + right * 31) % PAIRS, first
 
 
-def read_words(data: np.ndarray, offsets: np.ndarray) -> Text:
-    words = words_of(data, offsets, WORD_BYTE)
-    distinct, first, index = np.unique(words.hashes, return_index=True, return_inverse=True)
-    pairs, pair_bounds = byte_pairs(data, words.starts[first], words.ends[first])
-    return Text(distinct, pairs, pair_bounds, index, words.bounds)
+def read_words(texts: list[bytes]) -> Text:
+    """The words of whole texts, hashed slice by slice."""
+    starts, ends, hashes, bounds = [], [], [], [np.zeros(1, np.int64)]
+    at = n = 0
+    for _, _, data, offsets in pieces(pa.array(texts, pa.large_binary())):
+        words = words_of(data, offsets, WORD_BYTE)
+        starts.append(words.starts + at)
+        ends.append(words.ends + at)
+        hashes.append(words.hashes)
+        bounds.append(words.bounds[1:] + n)
+        at, n = at + len(data), n + len(words.hashes)
+    none = np.zeros(0, np.int64)
+    hashes = np.concatenate([none.astype(np.uint64), *hashes])
+    distinct, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    starts, ends = np.concatenate([none, *starts])[first], np.concatenate([none, *ends])[first]
+    pairs, pair_bounds = byte_pairs(data, starts, ends)
+    return Text(distinct, pairs, pair_bounds, index.astype(np.int32), np.concatenate(bounds))
 
 
 def windows_of(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -276,6 +290,14 @@ class Model:
             logit[part] = (energy * value).sum(axis=0) + p["bias"]
         return logit
 
+    def all_logits(self, texts: list[bytes]) -> np.ndarray:
+        """Logits of all windows of all texts, in order."""
+        out = [np.zeros(0, dtype=np.float32)]
+        for _, _, data, offsets in pieces(pa.array(texts, pa.large_binary())):
+            words = words_of(data, offsets, WORD_BYTE)
+            out.append(self.window_logits(words, data, *windows_of(words.bounds)))
+        return np.concatenate(out)
+
     def highest(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The logit of the highest window of each row."""
         words = words_of(data, offsets, WORD_BYTE)
@@ -310,17 +332,16 @@ def train(texts: list[bytes], labels: list[int], seed: int = 5, epochs: int = EP
     and two others.  A fifth of the texts is held back to calibrate the scores.
     """
     rng = np.random.default_rng(seed)
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    text = read_words(data, offsets)
-    words = words_of(data, offsets, WORD_BYTE)
+    text = read_words(texts)
     y = np.array(labels, dtype=np.float64)
     held = rng.random(len(y)) < 0.2
     starts, row = windows_of(text.bounds)
     of_word = np.searchsorted(text.bounds, np.arange(len(text.index)), side="right") - 1
-    seen = np.unique(np.stack([of_word, text.index], axis=1)[~held[of_word]], axis=0)
-    good = np.bincount(seen[:, 1], weights=y[seen[:, 0]], minlength=len(text.distinct))
-    every = np.bincount(seen[:, 1], minlength=len(text.distinct))
+    both = of_word * len(text.distinct) + text.index
+    in_row, word = np.divmod(np.unique(both[~held[of_word]]), max(len(text.distinct), 1))
+    good = np.bincount(word, weights=y[in_row], minlength=len(text.distinct))
+    every = np.bincount(word, minlength=len(text.distinct))
+    del both, of_word, in_row, word
     common = np.flatnonzero(every >= 2)
     common = common[np.argsort(-every[common], kind="stable")[:VOCABULARY]]
     model = Model(np.sort(text.distinct[common]), seed)
@@ -370,7 +391,7 @@ def train(texts: list[bytes], labels: list[int], seed: int = 5, epochs: int = EP
                 model.p[k] -= (rate * step).astype(np.float32)
         if epoch in (1, 3, epochs - 1):
             model.freeze(text, rows)
-            logit = model.window_logits(words, data, starts, row)
+            logit = model.all_logits(texts)
     _calibrate(model, np.maximum.reduceat(logit, first).astype(np.float64), y, held)
     return model
 
@@ -422,7 +443,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     texts, toxic = training_rows(docs, labels, text)
     if not texts:
         model = Model(np.zeros(0, dtype=np.uint64))
-        model.freeze(read_words(np.zeros(0, np.uint8), np.zeros(1, np.int64)), np.zeros(0, np.int64))
+        model.freeze(read_words([]), np.zeros(0, np.int64))
         model.scale, model.shift = 0.0, -4.0
         return model
     return train(texts, toxic)
