@@ -148,6 +148,7 @@ def map_batches(
                     ],
                     schema=target,
                 )
+        pa.default_memory_pool().release_unused()  # workers live on after the task
 
     return df.mapInArrow(run, schema)
 

@@ -32,7 +32,7 @@ BLOCK_IDS = 1 << 18
 CHECKPOINT = 128
 MAX_BITS = 16
 #: Words a task keeps the ids of, in each of two generations.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 320_000
 #: Marks that end many words; a byte-level tokenizer splits them from letters.
 MARKS = ",.;:!?|)"
 BLOCK_SCHEMA = (
