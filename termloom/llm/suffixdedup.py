@@ -2,8 +2,8 @@
 
 A byte goes when it is covered by a ``SPAN``-byte string that also starts in a document
 of smaller id.  Equal strings contain the same sampled position (the least hash of their
-``GRAM``-byte pieces), so the snippets around sampled positions whose piece occurs in more
-than one text are all that has to be compared.  Snippets meet by the hash of that piece;
+``GRAM``-byte pieces), so the snippets with a sampled piece that occurs in more than one text are
+all that has to be compared.  Snippets meet by the hash of that piece;
 equal snippets are one before they move.  Each shard of snippets is sorted by its
 suffixes (``inducedsort``), and in every run of suffixes with a common prefix of ``SPAN``
 bytes the smallest document id is what the others are held against.
@@ -52,26 +52,32 @@ def _slide(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     return pick(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def sampled(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the pieces that are least in some ``span``-byte string of a text."""
+def sampled(
+    data: np.ndarray, offsets: np.ndarray, span: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, end, hash) of the runs of neighbouring ``span``-byte strings of a text whose
+    least piece hash is the same; every such string is in one run, by its start."""
     n, reach = len(data), span - gram + 1
     if n < span:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(np.uint64)
     sums = prefix_sums(data)
     down = _power_table("down", BASE_INVERSE, n + 1)
     hashes = mix((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
     least = _slide(hashes, reach, np.minimum)
-    inside = np.zeros(n + 1, dtype=np.int64)
+    inside = np.zeros(n + 1, dtype=np.int8)
     starts, ends = offsets[:-1], offsets[1:]
     ok = ends - starts >= span
-    inside[starts[ok]] += 1
+    np.add.at(inside, starts[ok], 1)
     np.subtract.at(inside, ends[ok] - span + 1, 1)
-    valid = np.cumsum(inside)[: len(least)] > 0
-    least = np.where(valid, least, np.uint64(0))
-    edge = np.zeros(reach - 1, dtype=np.uint64)
-    best = _slide(np.concatenate([edge, least, edge]), reach, np.maximum)
-    places = np.flatnonzero(best == hashes)
-    return places, hashes[places]
+    valid = np.cumsum(inside, dtype=np.int8)[: len(least)] > 0
+    change = least[1:] != least[:-1]
+    change |= valid[1:] != valid[:-1]
+    change[starts[(starts > 0) & (starts < len(least))] - 1] = True
+    first = np.append(0, np.flatnonzero(change) + 1)
+    end = np.append(first[1:], len(least))
+    keep = valid[first]
+    return first[keep], end[keep], least[first[keep]]
 
 
 def _of_rows(places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -83,7 +89,7 @@ def piece_counts(texts: DataFrame, span: int, gram: int) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         for _, _, data, offsets in pieces(batch.column(0)):
-            places, hashes = sampled(data, offsets, span, gram)
+            places, _, hashes = sampled(data, offsets, span, gram)
             row = _of_rows(places, offsets)
             order = np.lexsort((hashes, row))
             row, hashes = row[order], hashes[order]
@@ -95,7 +101,7 @@ def piece_counts(texts: DataFrame, span: int, gram: int) -> DataFrame:
 
 
 def snippets(texts: DataFrame, shared: DataFrame, span: int, gram: int) -> DataFrame:
-    """(piece, doc_id, text_key, start, snippet) around the sampled pieces in ``shared``."""
+    """(piece, doc_id, text_key, start, snippet): the runs whose piece is in ``shared``."""
     spark = texts.sparkSession
     few = shared.limit(MAX_SHARED + 1).count() <= MAX_SHARED
     held = None
@@ -105,17 +111,16 @@ def snippets(texts: DataFrame, shared: DataFrame, span: int, gram: int) -> DataF
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         for first, end, data, offsets in pieces(batch.column(2)):
-            places, hashes = sampled(data, offsets, span, gram)
+            low, stop, hashes = sampled(data, offsets, span, gram)
             if held is not None:
                 known = held.value
-                if not len(known) or not len(places):
+                if not len(known) or not len(low):
                     continue
                 at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                 keep = known[at] == hashes
-                places, hashes = places[keep], hashes[keep]
-            row = _of_rows(places, offsets)
-            low = np.maximum(places - (span - gram), offsets[row])
-            high = np.minimum(places + span, offsets[row + 1])
+                low, stop, hashes = low[keep], stop[keep], hashes[keep]
+            row = _of_rows(low, offsets)
+            high = stop - 1 + span
             raw = data.tobytes()
             take = pa.array(row)
             yield {
