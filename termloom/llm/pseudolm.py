@@ -3,9 +3,9 @@
 A small network is trained in numpy: the vectors of ``REACH`` words on each side, weighted
 by place, sum to a hidden state that predicts the masked word in two steps, its class and
 the word within it.  The vocabulary comes from counts over all documents.  Tasks train
-on their own rows from common parameters, every ``STRIDE``-th word of every document as a
-target, and their parameters are averaged, weighted by words, after each round.  A
-document's score is the sum of the conditional log-probabilities of all its words.
+on their own rows from common parameters, and their parameters are averaged, weighted by
+words, after each round.  The rounds share out the places of a document, so every word
+of every document is a target once.  A document's score is the sum of the conditional log-probabilities of all its words.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import WORD_BYTE, map_batches, pieces, words_of
+from termloom.llm.common import WORD_BYTE, map_batches, mix, pieces, words_of
 from termloom.session import stage
 
 REACH = 4
@@ -27,7 +27,6 @@ DIM = 16
 CLASSES = WITHIN = 64
 VOCABULARY = CLASSES * WITHIN
 ROUNDS = 2
-STRIDE = 4
 BATCH = 1 << 14
 RATE = 0.08
 SHARE = 4096  # values of the parameters in one row of the exchange
@@ -136,30 +135,36 @@ class Network:
     def gradients(self, context: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
         p = self.p
+        # By class, so the rows of one are a slice.
+        order = np.argsort((target // WITHIN).astype(np.uint8), kind="stable")
+        context, target = context[order], target[order]
         h = self.hidden(context)
         group, word = np.divmod(target, WITHIN)
-        g = {k: np.zeros_like(v) for k, v in p.items() if k in ("word", "word_bias")}
+        ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+        slices = [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+        g = {k: np.zeros_like(v) for k, v in p.items() if k in ("word", "word_bias", "vector")}
         d = _soft(h @ p["class"] + p["class_bias"])
         d[np.arange(len(h)), group] -= 1
         g["class"], g["class_bias"] = h.T @ d, d.sum(axis=0)
         dh = d @ p["class"].T
-        for c, rows in _by_class(group):
-            d = _soft(h[rows] @ p["word"][c] + p["word_bias"][c])
-            d[np.arange(len(rows)), word[rows]] -= 1
-            g["word"][c], g["word_bias"][c] = h[rows].T @ d, d.sum(axis=0)
-            dh[rows] += d @ p["word"][c].T
+        for c, rows in slices:
+            np.add(h[rows] @ p["word"][c], p["word_bias"][c], out=d[rows])
+        _soft(d)
+        d[np.arange(len(h)), word] -= 1
+        for c, rows in slices:
+            g["word"][c], g["word_bias"][c] = h[rows].T @ d[rows], d[rows].sum(axis=0)
+            dh[rows] += d[rows] @ p["word"][c].T
         dh *= 1 - h * h
         g["bias"] = dh.sum(axis=0)
         g["place"] = np.empty_like(p["place"])
-        each = np.empty((2 * REACH, *dh.shape), dtype=np.float32)
         for k in range(2 * REACH):
-            g["place"][k] = (dh * p["vector"][context[:, k]]).sum(axis=0)
-            each[k] = dh * p["place"][k]
-        flat = context.T.reshape(-1)
-        order = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.append(True, np.diff(flat[order]) > 0))
-        g["vector"] = np.zeros_like(p["vector"])
-        g["vector"][flat[order[first]]] = np.add.reduceat(each.reshape(-1, DIM)[order], first, axis=0)
+            near = context[:, k].astype(np.uint16)  # sorted by digits
+            order = np.argsort(near, kind="stable")
+            near = near[order]
+            first = np.flatnonzero(np.append(True, near[1:] != near[:-1]))
+            sums, at = np.add.reduceat(dh.take(order, axis=0), first, axis=0), near[first]
+            g["place"][k] = (sums * p["vector"][at]).sum(axis=0)
+            g["vector"][at] += sums * p["place"][k]
         return {k: v / len(target) for k, v in g.items()}
 
 
@@ -193,6 +198,17 @@ def contexts(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return padded, place
 
 
+def targets(place: np.ndarray, bounds: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Those of ``place`` whose words are targets in a round, by their place in the document.
+
+    Of ``rounds`` neighbours each is in another round; which is first is hashed, so no
+    regular text has some of its words in one round only.
+    """
+    within = np.arange(len(place)) - np.repeat(bounds[:-1], np.diff(bounds))
+    shift = mix((within // rounds).astype(np.uint64)) % np.uint64(rounds)
+    return place[(within + shift.astype(np.int64)) % rounds == turn]
+
+
 _AROUND = np.array([*range(-REACH, 0), *range(1, REACH + 1)])
 
 
@@ -217,7 +233,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, text: s
                 for _, _, data, offsets in pieces(batch.column(0)):
                     found = words_of(data, offsets, WORD_BYTE)
                     padded, place = contexts(words.look_up(found.hashes), found.bounds)
-                    place = place[turn % STRIDE :: STRIDE]
+                    place = targets(place, found.bounds, turn, rounds)
                     for at in range(0, len(place), BATCH):
                         here = place[at : at + BATCH]
                         g = local.gradients(padded[here[:, None] + _AROUND], padded[here])
