@@ -35,21 +35,21 @@ SALTS = 64
 
 @dataclass
 class Vocabulary:
-    """Hashes of the most frequent words; id 0 stands for all others."""
+    """Hashes of the most frequent words; id 0 stands for all others, counted together."""
 
     order: np.ndarray
     ids: np.ndarray
     log_share: np.ndarray
-    other_types: int
+    other: int
 
     @staticmethod
-    def of(hashes: np.ndarray, counts: np.ndarray, other: int, other_types: int) -> Vocabulary:
+    def of(hashes: np.ndarray, counts: np.ndarray, other: int) -> Vocabulary:
         """From the frequent words, most frequent first, and what is left of all counts."""
         share = np.full(VOCABULARY, 0.5)
         share[0] += other
         share[1 : len(counts) + 1] += counts
         order = np.argsort(hashes)
-        return Vocabulary(hashes[order], order + 1, np.log(share / share.sum()), max(other_types, 1))
+        return Vocabulary(hashes[order], order + 1, np.log(share / share.sum()), max(other, 1))
 
     def look_up(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.order):
@@ -83,13 +83,13 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary_of(docs: DataFrame, text: str = "text") -> Vocabulary:
-    counts = stage(count_words(docs, text), "lm-words")
+def vocabulary_of(counts: DataFrame) -> Vocabulary:
+    """From the staged table of ``count_words``."""
     top = counts.orderBy(F.col("n").desc(), "word").limit(VOCABULARY - 1).collect()
-    whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
+    whole = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
     hashes = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
     n = np.array([r["n"] for r in top], dtype=np.int64)
-    return Vocabulary.of(hashes, n, (whole["n"] or 0) - int(n.sum()), whole["types"] - len(top))
+    return Vocabulary.of(hashes, n, whole - int(n.sum()))
 
 
 class Network:
@@ -280,19 +280,34 @@ def _added(sums: DataFrame, *keys: str) -> DataFrame:
     ).applyInPandas(add, schema)
 
 
-def score(docs: DataFrame, network: Network, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+def rare_words(words: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[pa.Array, pa.Array]:
+    """(words, times): the different words of each row and how often they are in it."""
+    order = np.lexsort((words, row))
+    words, row = words[order], row[order]
+    new = np.append(True, (words[1:] != words[:-1]) | (row[1:] != row[:-1]))[: len(words)]
+    first = np.flatnonzero(new)
+    bounds = pa.array(np.searchsorted(row[first], np.arange(n_rows + 1)).astype(np.int32))
+    times = np.diff(np.append(first, len(words))).astype(np.int32)
+    return (
+        pa.ListArray.from_arrays(bounds, pa.array(words[first].view(np.int64))),
+        pa.ListArray.from_arrays(bounds, pa.array(times)),
+    )
+
+
+def score(
+    docs: DataFrame, network: Network, vocabulary: Vocabulary, counts: DataFrame, text: str = "text"
+) -> DataFrame:
     """(doc_id, n_words, pseudo_log_likelihood, score) of every row, over whole texts.
 
-    A word outside the vocabulary also pays for being one of all such words.  ``score`` is
-    the mean over the words; null, empty and wordless texts have a sum of 0 and a null
-    score.  Repeated rows stay; extra columns are ignored.
+    A word outside the vocabulary also pays for its share of all such words, by its own
+    count in ``counts``.  ``score`` is the mean over the words; null, empty and wordless
+    texts have a sum of 0 and a null score.  Repeated rows stay; extra columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network))
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         words, model = shared.value
-        rare = np.log(words.other_types)
-        for first, end, data, offsets in pieces(batch.column(1)):
+        for first, end, data, offsets in pieces(batch.column(2)):
             found = words_of(data, offsets, WORD_BYTE)
             ids = words.look_up(found.hashes)
             padded, place = contexts(ids, found.bounds)
@@ -300,23 +315,37 @@ def score(docs: DataFrame, network: Network, vocabulary: Vocabulary, text: str =
             for at in range(0, len(place), BATCH):
                 here = place[at : at + BATCH]
                 logs[at : at + BATCH] = model.log_probabilities(padded[here[:, None] + _AROUND], padded[here])
-            logs[ids == 0] -= rare
-            sums = np.diff(np.append(0.0, np.cumsum(logs))[found.bounds])
-            n = np.diff(found.bounds)
+            rare = np.flatnonzero(ids == 0)
+            row = np.searchsorted(found.bounds, rare, side="right") - 1
+            hashes, times = rare_words(found.hashes[rare], row, end - first)
             yield {
-                "doc_id": batch.column(0).slice(first, end - first),
-                "n_words": n,
-                "pseudo_log_likelihood": sums,
-                "score": [s / k if k else None for s, k in zip(sums.tolist(), n.tolist(), strict=True)],
+                "row": batch.column(0).slice(first, end - first),
+                "doc_id": batch.column(1).slice(first, end - first),
+                "n_words": np.diff(found.bounds),
+                "logs": np.diff(np.append(0.0, np.cumsum(logs))[found.bounds]),
+                "words": hashes,
+                "times": times,
             }
 
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return map_batches(
-        slim, "doc_id bigint, n_words bigint, pseudo_log_likelihood double, score double", work
+    slim = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col(text).alias("text"),
+    )
+    schema = "row bigint, doc_id bigint, n_words bigint, logs double, words array<bigint>, times array<int>"
+    scored = stage(map_batches(slim, schema, work), "lm-scored")  # rows keep their numbers
+    rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
+    rare = rare.select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    price = F.log(F.col("n") / F.lit(float(vocabulary.other)))
+    paid = rare.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * price).alias("paid"))
+    whole = F.col("logs") + F.coalesce("paid", F.lit(0.0))
+    return scored.select("row", "doc_id", "n_words", "logs").join(paid, "row", "left").select(
+        "doc_id", "n_words", whole.alias("pseudo_log_likelihood"),
+        F.when(F.col("n_words") > 0, whole / F.col("n_words")).alias("score"),
     )
 
 
 def score_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """Count, train and score over one table.  An empty table gives an empty result."""
-    vocabulary = vocabulary_of(docs, text)
-    return score(docs, train(docs, vocabulary, text=text), vocabulary, text)
+    counts = stage(count_words(docs, text), "lm-words")
+    vocabulary = vocabulary_of(counts)
+    return score(docs, train(docs, vocabulary, text=text), vocabulary, counts, text)

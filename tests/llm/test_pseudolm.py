@@ -23,7 +23,7 @@ def test_every_word_is_a_target_once():
 
 def test_words_at_all_places_are_learned(spark):
     docs = corpus(spark, ["aa bb cc dd " * 100_000] * 2)
-    vocabulary = pseudolm.vocabulary_of(docs)
+    vocabulary = pseudolm.vocabulary_of(pseudolm.count_words(docs, "text"))
     network = pseudolm.train(docs, vocabulary)
     ids = np.tile(vocabulary.look_up(pseudolm.words_of(
         np.frombuffer(b"aa bb cc dd", np.uint8), np.array([0, 11]), pseudolm.WORD_BYTE).hashes), 5)
@@ -31,3 +31,20 @@ def test_words_at_all_places_are_learned(spark):
     at = place[8:12]
     logs = network.log_probabilities(padded[at[:, None] + pseudolm._AROUND], padded[at])
     assert (logs > np.log(0.5)).all(), logs
+
+
+def test_rare_words_pay_by_their_own_counts(spark):
+    common = " ".join(f"w{i}" for i in range(4095)) + " "
+    docs = corpus(spark, [common * 10, "often " * 8, "seldom", "never often seldom", None, ""])
+    got = {r["doc_id"]: r for r in pseudolm.score_documents(docs).collect()}
+    assert len(got) == 6 and got[4]["score"] is None and got[5]["pseudo_log_likelihood"] == 0
+    counts = pseudolm.count_words(docs, "text")
+    vocabulary = pseudolm.vocabulary_of(counts)
+    assert vocabulary.other == 12  # often 9, seldom 2, never 1
+    # With a network that has learned nothing, the whole sum is known.
+    network = pseudolm.Network(vocabulary)
+    got = {r["doc_id"]: r for r in pseudolm.score(docs, network, vocabulary, counts).collect()}
+    price = dict(often=np.log(9 / 12), seldom=np.log(2 / 12), never=np.log(1 / 12))
+    for i, words in ((1, ["often"] * 8), (2, ["seldom"]), (3, ["never", "often", "seldom"])):
+        want = sum(vocabulary.log_share[0] + price[w] for w in words)
+        assert abs(got[i]["pseudo_log_likelihood"] - want) < 1e-3
