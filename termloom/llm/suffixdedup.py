@@ -6,7 +6,8 @@ of smaller id.  Equal strings contain the same sampled position (the least hash
 all that has to be compared.  Snippets meet by the hash of that piece;
 equal snippets are one before they move.  Each shard of snippets is sorted by its
 suffixes (``inducedsort``), and in every run of suffixes with a common prefix of ``SPAN``
-bytes the smallest document id is what the others are held against.
+bytes the smallest document id is what the others are held against.  A piece with more snippets than
+a shard is for is split: the strings of its snippets are rows of their own and meet by value.
 
 Equal texts are one text first: all but the copy of the smallest id go whole.
 """
@@ -40,6 +41,10 @@ GRAM = 20
 SHARD_BYTES = 1_500_000
 #: Shared pieces that tasks may hold as a sorted array; more of them are joined.
 MAX_SHARED = 4_000_000
+#: Groups of pieces whose bytes are summed first, to find those that hold an oversized piece.
+BUCKETS = 1 << 16
+#: Strings of one batch out of an oversized piece.
+STRINGS = 1 << 14
 
 
 def _slide(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -187,6 +192,45 @@ def earlier_parts(different: DataFrame, shards: int, span: int) -> DataFrame:
     return dealt.mapInArrow(work, "snippet_key bigint, lows array<bigint>, highs array<bigint>")
 
 
+def oversized(different: DataFrame) -> tuple[DataFrame | None, int]:
+    """(the pieces whose snippets outgrow a shard or None, bytes of all snippets)."""
+    rows = different.select(
+        "piece", F.pmod("piece", F.lit(BUCKETS)).alias("bucket"), F.octet_length("snippet").cast("bigint").alias("n")
+    )
+    sums = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
+    n = np.asarray(sums.column("n").combine_chunks(), dtype=np.int64)
+    full = np.asarray(sums.column("bucket").combine_chunks(), dtype=np.int64)[n > SHARD_BYTES]
+    if not len(full):
+        return None, int(n.sum())
+    if len(full) <= 1000:
+        rows = rows.filter(F.col("bucket").isin(full.tolist()))
+    found = rows.groupBy("piece").agg(F.sum("n").alias("n")).filter(F.col("n") > SHARD_BYTES)
+    return stage(found.select("piece"), "suffix-oversized"), int(n.sum())
+
+
+def earlier_strings(different: DataFrame, span: int) -> DataFrame:
+    """``earlier_parts`` string by string, for pieces that no task should hold whole."""
+
+    def work(batch: pa.RecordBatch) -> Iterator[dict]:
+        for key, doc, snippet in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for low in range(0, len(snippet) - span + 1, STRINGS):
+                at = range(low, min(low + STRINGS, len(snippet) - span + 1))
+                yield {
+                    "snippet_key": [key] * len(at), "doc_id": [doc] * len(at), "at": list(at),
+                    "string": [snippet[k : k + span] for k in at],
+                }
+
+    schema = "snippet_key bigint, doc_id bigint, at bigint, string binary"
+    strings = stage(map_batches(different.select("snippet_key", "doc_id", "snippet"), schema, work), "suffix-strings")
+    # Partial minima: a string in all snippets is one row per task.
+    least = strings.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    least = small_side(stage(least.filter("least < most").select("string", "least"), "suffix-least"))
+    hits = strings.join(least, "string").filter("least < doc_id")
+    return hits.groupBy("snippet_key").agg(F.collect_list("at").alias("lows")).select(
+        "snippet_key", "lows", F.transform("lows", lambda x: x + 1).alias("highs")
+    )
+
+
 def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """(doc_id, text_key, lows, highs): byte ranges of each text that go, not yet merged.
 
@@ -198,8 +242,16 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     rows = stage(rows, "suffix-snippets")
     different = rows.groupBy("piece", "snippet", "snippet_key").agg(F.min("doc_id").alias("doc_id"))
     different = stage(different, "suffix-different")
-    size = different.agg(F.sum(F.octet_length("snippet")).alias("n")).first()["n"] or 0
-    earlier = stage(earlier_parts(different, int(size // SHARD_BYTES) + 1, span), "suffix-earlier")
+    large, size = oversized(different)
+    shards = size // SHARD_BYTES + 1
+    if large is None:
+        earlier = earlier_parts(different, shards, span)
+    else:
+        large = small_side(large)
+        earlier = earlier_parts(different.join(large, "piece", "left_anti"), shards, span).union(
+            earlier_strings(different.join(large, "piece", "left_semi"), span)
+        )
+    earlier = stage(earlier, "suffix-earlier")
     owners = different.select("snippet_key", F.col("doc_id").alias("owner"))
     found = owners.join(earlier, "snippet_key", "left")
     slim = rows.select("doc_id", "text_key", "start", "snippet_key", F.octet_length("snippet").alias("n"))
