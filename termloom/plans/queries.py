@@ -95,7 +95,7 @@ def half_hidden_files(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         rows = read_table(spark, sf_dir, "documents").select("text", "lang")
-        for folder, part in (("open", rows.filter("lang <> 'fr'")), ("_more", rows.filter("lang = 'fr'"))):
+        for folder, part in (("open", rows.filter("not lang <=> 'fr'")), ("_more", rows.filter("lang = 'fr'"))):
             writer = part.write.option("maxRecordsPerFile", FILE_TEXTS)
             writer.partitionBy("lang").text(f"{path}/{folder}")
 
@@ -110,6 +110,7 @@ def file_terms(files: DataFrame, label: str) -> DataFrame:
 def q_scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = scan_files(spark, half_hidden_files(spark, sf_dir), only_extensions=[".txt"])
     lang = F.regexp_extract("path", "/lang=([^/]*)/", 1)
+    lang = F.nullif(lang, F.lit("__HIVE_DEFAULT_PARTITION__"))  # how Spark names null in a path
     return file_terms(files.withColumn("lang", lang), "lang")
 
 

@@ -37,13 +37,28 @@ LISTING = "path string, is_dir boolean, length bigint, modificationTime timestam
 FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+# Fixed value: Hadoop's names of stores and those of the file systems in Arrow that serve them.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
 def _opened(path: str) -> tuple[fs.FileSystem, str, str]:
     """(file system, path in it, prefix that makes a path of it a URI again)."""
     plain = path.removeprefix("file:") if path.startswith("file:") else path
     if path.startswith("file:") or "://" not in path:
         return fs.LocalFileSystem(), "/" + plain.lstrip("/"), "file:"
-    system, inner = fs.FileSystem.from_uri(path)
-    return system, inner, path[: len(path) - len(inner)]
+    whole = path.rstrip("/")
+    scheme, rest = whole.split("://", 1)
+    authority, _, below = rest.partition("/")
+    if "@" in authority:  # container@account: paths in Arrow begin with the container
+        host = authority.replace(".blob.", ".dfs.", 1)
+        system, _ = fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{host}/")
+        system = fs.SubTreeFileSystem(authority.split("@")[0], system)
+        return system, below, f"{scheme}://{authority}/"
+    system, inner = fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+    inner = inner.rstrip("/")
+    if not whole.endswith(inner):
+        raise ValueError(f"{inner} is no part of {path}")
+    return system, inner, whole[: len(whole) - len(inner)]
 
 
 def _listed(paths: DataFrame) -> DataFrame:
@@ -122,14 +137,14 @@ def refused_files(spark: SparkSession, root: str) -> DataFrame:
 def scan_root(spark: SparkSession, root: str, only_extensions: list[str] | None) -> DataFrame:
     """Every file below ``root``, or the one file it names; hidden and empty files too.
 
+    A store that Arrow does not reach is an error, as there those two would be missing.
     Files that vanish or cannot be read are left out.  A listed extension is
     used on the listing, before a file is opened, wherever that is exact.
     """
     try:
         _opened(root)
-    except (OSError, ValueError, pa.ArrowException):
-        # Only Spark's reader reaches this store: hidden and empty files stay out.
-        return _seen_files(spark, root, only_extensions)
+    except (OSError, ValueError, NotImplementedError, pa.ArrowException) as e:
+        raise ValueError(f"no file system of Arrow lists {root}: hidden and empty files would be left out") from e
     seen = _seen_files(spark, root, only_extensions)  # an error if there is no such root
     refused = refused_files(spark, root)
     if only_extensions is not None:
