@@ -25,7 +25,9 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 8
+#: Ranks are settled when none changes by more in a round; so many rounds without that are an error.
+TOLERANCE = 1e-6
+ROUNDS = 500
 #: A host is blocked when its distrust exceeds its trust by this share of both.
 THRESHOLD = 0.0
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*[a-z][a-z0-9+.-]*://([^/?#"'\s>]+)"""
@@ -104,19 +106,29 @@ def personal_rank(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damp
 
     ``edges`` is (source, target, share), shares of a source summing to one.  Ranks are
     sums of weights, not shares of a whole: what a host gets does not shrink as others come.
+    Rounds go on until the largest change of a rank is at most ``TOLERANCE``.
     """
     start = stage(seeds.select("host", F.col("weight").alias("jump")).filter("jump > 0"), "host-seeds")
     rank = start.select("host", F.col("jump").alias("rank"))
+    none = F.lit(0.0).alias("old")
     for _ in range(rounds):
         sent = edges.join(rank.withColumnRenamed("host", "source"), "source").select(
-            F.col("target").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")
+            F.col("target").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"), none
         )
-        back = start.select("host", (F.col("jump") * (1 - damping)).alias("rank"))
+        back = start.select("host", (F.col("jump") * (1 - damping)).alias("rank"), none)
+        before = rank.select("host", F.lit(0.0).alias("rank"), F.col("rank").alias("old"))
         # Rounded, so that sums do not depend on the order of tasks.
-        rank = stage(
-            sent.union(back).groupBy("host").agg(F.round(F.sum("rank"), 12).alias("rank")), "host-rank"
+        after = stage(
+            sent.union(back).union(before).groupBy("host").agg(
+                F.round(F.sum("rank"), 12).alias("rank"), F.sum("old").alias("old")
+            ),
+            "host-rank",
         )
-    return rank
+        rank = after.select("host", "rank")
+        moved = after.agg(F.max(F.abs(F.col("rank") - F.col("old"))).alias("m")).first()["m"]
+        if (moved or 0.0) <= TOLERANCE:
+            return rank
+    raise ValueError(f"ranks still change by {moved} after {rounds} rounds")
 
 
 def shares(edges: DataFrame) -> DataFrame:
