@@ -2,6 +2,21 @@
 
 from __future__ import annotations
 
+EXACT_DUPLICATES = r"""
+WITH hashed AS (
+    SELECT doc_id,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id,
+       min(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept,
+       text_sha256
+FROM hashed
+WINDOW same AS (PARTITION BY text_sha256)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_perfect_hash": EXACT_DUPLICATES}

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, egojoin, hosttrust, huffman, mixing, oddsketch, pseudolm, sharding, suffixdedup, toxicity
+from termloom.llm import (
+    decontaminate,
+    egojoin,
+    hosttrust,
+    huffman,
+    mixing,
+    oddsketch,
+    perfecthash,
+    pseudolm,
+    sharding,
+    suffixdedup,
+    toxicity,
+)
 from termloom.sources.tables import read_table
 
 
@@ -71,6 +83,10 @@ def op10_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return egojoin.near_vectors(read_table(spark, sf_dir, "embeddings"), 0.98)
 
 
+def op12_perfect_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perfecthash.exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_huffman": op1_huffman,
@@ -83,4 +99,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bigru": op8_bigru,
         "op9_odd_sketch": op9_odd_sketch,
         "op10_epsilon_grid": op10_epsilon_grid,
+        "op12_perfect_hash": op12_perfect_hash,
     }
