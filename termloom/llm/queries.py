@@ -19,6 +19,7 @@ from termloom.llm import (
     sharding,
     suffixdedup,
     toxicity,
+    whitening,
 )
 from termloom.sources.tables import read_table
 
@@ -83,6 +84,10 @@ def op10_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return egojoin.near_vectors(read_table(spark, sf_dir, "embeddings"), 0.98)
 
 
+def op11_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_perfect_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perfecthash.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -99,5 +104,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bigru": op8_bigru,
         "op9_odd_sketch": op9_odd_sketch,
         "op10_epsilon_grid": op10_epsilon_grid,
+        "op11_qdwh_whitening": op11_qdwh_whitening,
         "op12_perfect_hash": op12_perfect_hash,
     }
