@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from termloom.llm import (
     decontaminate,
     egojoin,
+    filteraudit,
     hosttrust,
     huffman,
     mixing,
@@ -92,6 +93,12 @@ def op12_perfect_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perfecthash.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op13_radix_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_huffman": op1_huffman,
@@ -106,4 +113,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_epsilon_grid": op10_epsilon_grid,
         "op11_qdwh_whitening": op11_qdwh_whitening,
         "op12_perfect_hash": op12_perfect_hash,
+        "op13_radix_tries": op13_radix_tries,
     }
