@@ -36,6 +36,9 @@ SEPARATOR = (
     rf"(?<!{LETTER}{JOINS_LETTERS}(?={LETTER}))"
     rf"(?<!\p{{Nd}}{JOINS_DIGITS}(?=\p{{Nd}}))"
 )
+# Without connectors but the underscore and without format characters.
+PLAIN_SEPARATOR = SEPARATOR.replace(f"{CONNECTORS}[{FORMAT}]]", "_]", 1)
+UNUSUAL = rf"[{CONNECTORS[1:]}[{FORMAT}]]"
 IDEOGRAPH = r"([\x{2E80}-\x{3FFFF}&&[\p{IsHan}\p{IsHiragana}]]\p{M}*+)"
 LINE_BREAK = r"\r\n|\r|\n"
 
@@ -57,6 +60,11 @@ def is_word(piece: Column) -> Column:
     return F.ltrim(piece, F.lit(CONNECTORS + FORMATS)) != ""
 
 
+def is_plain_word(piece: Column) -> Column:
+    """The same where the underscore is the only connector."""
+    return F.when(piece.startswith("_"), F.ltrim(piece, F.lit("_")) != "").otherwise(piece != "")
+
+
 def without_loose_format(pieces: Column) -> Column:
     """Format characters in front of a piece follow no word and belong to none."""
     front = rf"^[{FORMAT}]+"
@@ -72,7 +80,10 @@ def tokenize(text: Column) -> Column:
     Ideographs stand alone; tokens longer than the limit are cut into pieces.
     """
     spaced = F.regexp_replace(lower_simple(text), IDEOGRAPH, " $1 ")
-    words = F.filter(let(F.split(spaced, SEPARATOR), without_loose_format), is_word)
+    unusual = F.filter(let(F.split(spaced, SEPARATOR), without_loose_format), is_word)
+    plain = F.filter(F.split(spaced, PLAIN_SEPARATOR), is_plain_word)
+    # One look at the text tells whether every piece needs the longer tests.
+    words = F.when(text.rlike(UNUSUAL), unusual).otherwise(plain)
 
     def chop(word: Column) -> Column:
         pieces = F.regexp_extract_all(word, F.lit(rf"(?s).{{1,{MAX_TOKEN_LENGTH}}}"), F.lit(0))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,19 +31,93 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/termloom/{label}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop, for any store Spark can reach."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is something at a path of any file system Spark can reach."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    system, found = hadoop_path(spark, path)
+    return system.exists(found)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and authority, the same from wherever it is used."""
+    system, found = hadoop_path(spark, path)
+    return system.makeQualified(found).toString()
+
+
+@dataclass(frozen=True)
+class Listed:
+    """A name in a folder and when it was last changed, in milliseconds."""
+
+    name: str
+    modified: int
+
+
+def list_folder(spark: SparkSession, path: str) -> list[Listed]:
+    """What lies in a folder; nothing where there is none."""
+    system, folder = hadoop_path(spark, path)
+    if not system.exists(folder):
+        return []
+    found = system.listStatus(folder)
+    return [Listed(f.getPath().getName(), f.getModificationTime()) for f in found]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all in it; it may be gone already."""
+    system, found = hadoop_path(spark, path)
+    system.delete(found, True)
+
+
+def move_to_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a file its final name unless that is taken; whether it was free.
+
+    One step on file systems whose rename is one, such as HDFS.
+    """
+    from py4j.protocol import Py4JJavaError
+
+    _, old = hadoop_path(spark, source)
+    _, new = hadoop_path(spark, target)
+    files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        old.toUri(), spark._jsc.hadoopConfiguration()
+    )
+    kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    try:
+        files.rename(old, new, spark.sparkContext._gateway.new_array(kind, 0))
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+#: Tables staged and not yet deleted, by the scope they were staged in.
+_scopes: list[list[str]] = []
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: lineage ends at a table that outlives executors."""
     path = new_path(df.sparkSession, label)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside at the end; what is read from them is written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_path(spark, path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for an input too small to be split over them.
 
