@@ -34,11 +34,19 @@ from termloom.operators.statistics import (
     term_vector,
     vocabulary,
 )
-from termloom.sinks.index_store import merge_indexes, read_index, write_index
+from termloom.operators.points import range_documents
+from termloom.sinks.index_store import (
+    ConcurrentWriteError,
+    expire,
+    merge_indexes,
+    read_index,
+    write_index,
+)
 from termloom.sinks.reports import write_best_terms, write_vocabulary
 from termloom.sources.files import FILE_SPEC, filter_extension, scan_files
 
 __all__ = [
+    "ConcurrentWriteError",
     "FILE_SPEC",
     "Index",
     "IndexSpec",
@@ -53,6 +61,7 @@ __all__ = [
     "cosine_similarity",
     "doc_freq",
     "exact_terms",
+    "expire",
     "field_stats",
     "filter_extension",
     "kmeans_1d",
@@ -63,6 +72,7 @@ __all__ = [
     "merge_indexes",
     "postings_lookup",
     "postings_with_df",
+    "range_documents",
     "read_index",
     "report_lines",
     "scan_files",

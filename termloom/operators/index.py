@@ -12,6 +12,7 @@ from termloom.functions.text import count_tokens, tokenize
 
 # Most rows that are ever sent to every executor.
 BROADCAST_ROWS = 200_000
+TERM_COUNTS = ("df", "ttf", "sum_sq_tf")
 
 
 @dataclass(frozen=True)
@@ -51,6 +52,29 @@ class FieldSize:
     n_postings: int = 0
 
 
+@dataclass(frozen=True)
+class Piece:
+    """Stored batches whose rows get their ids in the same way.
+
+    ``documents`` and ``postings`` are as they lie on disk, with their ``batch`` and
+    ``chunk``, the folders of the documents; replaced documents are left out.  The ids of
+    the index are the stored ones plus ``offset`` and lie from ``first_id`` up to, but not
+    including, ``next_id``.
+    """
+
+    documents: DataFrame
+    postings: DataFrame
+    offset: int
+    first_id: int
+    next_id: int
+
+    def with_ids(self, rows: DataFrame) -> DataFrame:
+        """Rows with the ids of the index; untouched where those are the stored ones."""
+        if not self.offset:
+            return rows
+        return rows.withColumn("doc_id", F.col("doc_id") + F.lit(self.offset))
+
+
 @dataclass(frozen=True)
 class Index:
     """Tables of an index.
@@ -62,8 +86,9 @@ class Index:
     ``field_counts`` field, doc_count, sum_total_term_freq, sum_doc_freq
     ``n_docs``     number of documents, with or without terms
     ``sizes``      size of every field with terms, if the index is stored
-    ``term_parts`` statistics that are still to be summed by term, a part for each
-                   batch of a stored index of several
+    ``term_parts`` statistics that are still to be summed by term, where a stored index
+                   has several parts of them
+    ``pieces``     the batches of a stored index, by how their ids are made
     """
 
     spec: IndexSpec
@@ -74,11 +99,25 @@ class Index:
     n_docs: Column
     sizes: dict[str, FieldSize] | None = None
     term_parts: DataFrame | None = None
+    pieces: tuple[Piece, ...] = ()
 
     @property
     def stored(self) -> bool:
         return self.sizes is not None
 
+    def document(self, doc_id: int) -> DataFrame:
+        """The row of one document; only batches whose ids include it are looked into."""
+        if not self.stored:
+            return self.documents.filter(F.col("doc_id") == doc_id)
+        found = [
+            p.with_ids(p.documents.filter(F.col("doc_id") == doc_id - p.offset))
+            for p in self.pieces
+            if p.first_id <= doc_id < p.next_id
+        ]
+        if not found:
+            return self.documents.limit(0)
+        return reduce(DataFrame.unionByName, found).drop("batch", "chunk")
+
     def field_postings(self, field: str) -> DataFrame:
         self.spec.check_field(field)
         return self.postings.filter(F.col("field") == field).drop("field")
@@ -88,7 +127,10 @@ class Index:
         return self.term_stats.filter(F.col("field") == field).drop("field")
 
     def field_parts(self, field: str) -> DataFrame:
-        """Term statistics with one row for each term and part."""
+        """Term statistics with one row for each term and part.
+
+        Parts that take replaced documents back hold negative counts: only sums mean anything.
+        """
         self.spec.check_field(field)
         parts = self.term_stats if self.term_parts is None else self.term_parts
         return parts.filter(F.col("field") == field).drop("field")
@@ -107,15 +149,15 @@ def analyse_documents(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *plain, *vectors)
 
 
-def field_vectors(documents: DataFrame, spec: IndexSpec, field: str) -> DataFrame:
+def field_vectors(documents: DataFrame, spec: IndexSpec, field: str, *keep: str) -> DataFrame:
     """(doc_id, terms, tfs) of one field, one row per document that has the field."""
     spec.check_field(field)
     if field in spec.text:
         return documents.filter(F.col(f"{field}.length") > 0).select(
-            "doc_id", F.col(f"{field}.terms").alias("terms"), F.col(f"{field}.tfs").alias("tfs")
+            *keep, "doc_id", F.col(f"{field}.terms").alias("terms"), F.col(f"{field}.tfs").alias("tfs")
         )
     return documents.filter(F.col(field).isNotNull()).select(
-        "doc_id", F.array(field).alias("terms"), F.array(F.lit(1).cast("bigint")).alias("tfs")
+        *keep, "doc_id", F.array(field).alias("terms"), F.array(F.lit(1).cast("bigint")).alias("tfs")
     )
 
 
@@ -171,10 +213,15 @@ def combine_term_stats(partials: list[DataFrame]) -> DataFrame:
     return (
         reduce(DataFrame.unionByName, partials)
         .groupBy("field", "term")
-        .agg(*(F.sum(c).alias(c) for c in ("df", "ttf", "sum_sq_tf")))
+        .agg(*(F.sum(c).alias(c) for c in TERM_COUNTS))
     )
 
 
+def taken_back(stats: DataFrame) -> DataFrame:
+    """The statistics of documents that are no longer there, to be added to the others."""
+    return stats.select("field", "term", *((-F.col(c)).alias(c) for c in TERM_COUNTS))
+
+
 def field_counters(spec: IndexSpec, field: str) -> dict[str, Column]:
     """Aggregates over documents that describe one field with terms.
 

@@ -39,8 +39,7 @@ def best_terms(index: Index, doc_id: int, field: str, top: int, order: str) -> D
     """
     check_top(top)
     key = ranking_key(order)
-    document = index.documents.filter(F.col("doc_id") == doc_id)
-    vector = field_vectors(document, index.spec, field)
+    vector = field_vectors(index.document(doc_id), index.spec, field)
     size = vector.select(F.size("terms")).first()
     if size is None:
         raise ValueError(f"document {doc_id} has no terms in field {field!r}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ from termloom.functions.weights import (
     idf,
     weight,
 )
-from termloom.operators.index import Index, field_vectors, term_rows
-from termloom.operators.statistics import postings_lookup, postings_with_df
+from termloom.operators.index import BROADCAST_ROWS, Index, field_vectors, term_rows
+from termloom.operators.statistics import postings_with_df
 
 
 def term_weights(index: Index, field: str, rep: str) -> DataFrame:
@@ -47,32 +49,49 @@ def term_norms(index: Index, field: str, rep: str) -> DataFrame:
     return index.field_terms(field).select("term", value.alias("norm"))
 
 
-# Parquet tests up to this many values one by one, bloom filters included.
-RARE_DOCS = 10
-
-
 def query_statistics(index: Index, field: str, term: str) -> Row | None:
     """df and sum of squared tf of the query term, None if it is absent."""
     rows = index.field_terms(field).filter(F.col("term") == term)
     return rows.select("df", "sum_sq_tf", F.lit(index.n_docs).alias("n_docs")).first()
 
 
+def both_factors(vectors: DataFrame, term: str) -> DataFrame:
+    """Vectors that hold the query term, with its frequency beside them."""
+    place = F.array_position("terms", F.lit(term)) - 1
+    held = vectors.filter(F.array_contains("terms", F.lit(term)))
+    return held.select("terms", "tfs", F.get("tfs", place).alias("query_tf"))
+
+
+def vectors_with(index: Index, field: str, term: str) -> DataFrame:
+    """(terms, tfs, query_tf) of the documents in the postings of the query term.
+
+    The postings name the folder of every document, so folders without one are pruned when
+    the query runs, and the few rows of the others meet the broadcast postings.
+    """
+    found = []
+    for piece in index.pieces:
+        wanted = (
+            piece.postings.filter((F.col("field") == field) & (F.col("term") == term))
+            .select("batch", "chunk", "doc_id", F.col("tf").alias("query_tf"))
+        )
+        vectors = field_vectors(piece.documents, index.spec, field, "batch", "chunk")
+        joined = vectors.join(F.broadcast(wanted), ["batch", "chunk", "doc_id"])
+        found.append(joined.select("terms", "tfs", "query_tf"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def co_occurrence(index: Index, field: str, term: str, df: int) -> DataFrame:
     """(term, co_docs, tf_dot) for every term that shares a document with ``term``.
 
-    A row of the documents table holds both sides of each product, so there is
-    neither a join nor a broadcast, however many of the documents the query
-    term is in.  The only shuffle moves map-side sums, one row per term and
-    task.  A stored index knows the few documents of a rare term from its
-    postings, and Parquet then skips the row groups of all others.
+    A stored index goes by the postings of the term, as long as these are few enough to be
+    sent to every executor.  Beyond that, and in a lazy index, every document is looked at:
+    a row of the documents table holds both sides of each product, so there is neither a
+    join nor a broadcast.  The only shuffle moves map-side sums, one row per term and task.
     """
-    vectors = field_vectors(index.documents, index.spec, field)
-    if index.stored and df <= RARE_DOCS:
-        few = [r["doc_id"] for r in postings_lookup(index, field, term).collect()]
-        vectors = vectors.filter(F.col("doc_id").isin(few))
-    with_query = vectors.withColumn(
-        "query_tf", F.get("tfs", F.array_position("terms", F.lit(term)) - 1)
-    ).filter(F.array_contains("terms", F.lit(term)))
+    if index.pieces and df <= BROADCAST_ROWS:
+        with_query = vectors_with(index, field, term)
+    else:
+        with_query = both_factors(field_vectors(index.documents, index.spec, field), term)
     return (
         term_rows(with_query, "query_tf")
         .groupBy("term")

@@ -51,8 +51,8 @@ def vocabulary(index: Index) -> DataFrame:
 
 def term_vector(index: Index, doc_id: int, field: str) -> DataFrame:
     """(term, tf) of one document; empty if it has no terms in the field."""
-    documents = index.documents.filter(F.col("doc_id") == doc_id)
-    return term_rows(field_vectors(documents, index.spec, field)).orderBy("term")
+    document = index.document(doc_id)
+    return term_rows(field_vectors(document, index.spec, field)).orderBy("term")
 
 
 def postings_lookup(index: Index, field: str, term: str) -> DataFrame:

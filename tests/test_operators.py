@@ -164,7 +164,7 @@ def test_frequent_and_rare_terms_take_both_ways(spark, corpus, monkeypatch):
 def test_rare_and_frequent_query_terms_take_both_ways(corpus, rep, monkeypatch):
     found = []
     for limit in (0, 1, 10):
-        monkeypatch.setattr(similarity, "RARE_DOCS", limit)
+        monkeypatch.setattr(similarity, "BROADCAST_ROWS", limit)
         for term in ("apple", "b", "absent"):
             ranked = tl.similar_terms(corpus, "contents", term, 7, rep, nan="drop")
             dots = tl.cosine_dot(corpus, "contents", term, rep).orderBy("term")

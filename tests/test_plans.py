@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import termloom as tl
 from termloom.functions.metadata import between
 from termloom.operators import index
+from termloom.sinks import index_store
 from termloom.session import new_path
 from tests.test_operators import SPEC, docs
 
@@ -51,7 +52,8 @@ def test_postings_need_no_shuffle(stored, spark, tmp_path):
 
 
 def test_cosine_sums_shuffle_once(stored):
-    assert plan(tl.cosine_dot(stored, "contents", "apple", "tf")).count("Exchange") == 1
+    text = plan(tl.cosine_dot(stored, "contents", "apple", "tf"))
+    assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in text
 
 
 def test_only_the_needed_columns_are_read(stored):
@@ -68,9 +70,46 @@ def test_lookups_are_pushed_down(stored):
     assert "EqualTo(doc_id,0)" in plan(tl.term_vector(stored, 0, "contents"))
 
 
-def test_rare_terms_and_ranges_are_pushed_down(stored):
-    text = plan(tl.cosine_dot(stored, "contents", "apple", "tf"))
-    assert "In(doc_id, [0,2])" in text
+def folders_read(df):
+    """(folders a pruned scan of documents read, folders there are) once ``df`` has run."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text
+    scans, stack = [], [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            stack.append(node.plan())
+            continue
+        if "chunk" in node.toString().split("\n")[0] and "terms" in node.toString().split("\n")[0]:
+            if node.metrics().contains("numPartitions"):
+                scans.append(node.metrics().apply("numPartitions").value())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return max(scans)
+
+
+@pytest.mark.parametrize("df", [30, 1000])
+def test_cosines_read_only_the_folders_in_the_postings(spark, monkeypatch, df):
+    """Documents with the term lie together; the folders of all others are skipped."""
+    monkeypatch.setattr(index_store, "CHUNK_DOCS", 128)
+    n = 4096
+    word = F.when(F.col("id") < df, F.lit("seldom common")).otherwise(F.lit("common other"))
+    rows = spark.range(0, n, 1, 4).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("p"), "id").alias("path"), F.lit("en").alias("lang"),
+        F.col("id").alias("size"), word.alias("contents"),
+    )
+    found = tl.write_index(rows, SPEC, new_path(spark, "folders"))
+    assert found.pieces[0].documents.select("chunk").distinct().count() == n // 128
+    dots = tl.cosine_dot(found, "contents", "seldom", "tf")
+    assert folders_read(dots) == -(-df // 128)
+    assert {r["term"]: r["dot"] for r in dots.collect()} == {"seldom": df, "common": df}
+
+
+def test_ranges_are_pushed_down(stored):
     text = plan(stored.documents.filter(between(F.col("size"), 1, 2)).select("path"))
     assert "GreaterThanOrEqual(size,1), LessThanOrEqual(size,2)" in text
 
