@@ -29,19 +29,65 @@ JOINS_LETTERS = f"[{JOINER}&&[{MID_NUM_LET}{MID_LETTER}]]"
 JOINS_DIGITS = f"[{JOINER}&&[{MID_NUM_LET}{MID_NUM}]]"
 
 # One separator character: neither part of a word, nor punctuation that joins
-# two letters or two digits.  No quantified group, so a hostile document cannot
-# make the regex engine recurse.
-SEPARATOR = (
-    rf"[^\p{{L}}\p{{M}}\p{{Nl}}\p{{Nd}}{CONNECTORS}[{FORMAT}]]"
+# two letters or two digits.  No quantified group without a small bound, so a
+# hostile document cannot make the regex engine recurse.
+PLAIN_SEPARATOR = (
+    r"[^\p{L}\p{M}\p{Nl}\p{Nd}_]"
     rf"(?<!{LETTER}{JOINS_LETTERS}(?={LETTER}))"
     rf"(?<!\p{{Nd}}{JOINS_DIGITS}(?=\p{{Nd}}))"
 )
-# Without connectors but the underscore and without format characters.
-PLAIN_SEPARATOR = SEPARATOR.replace(f"{CONNECTORS}[{FORMAT}]]", "_]", 1)
-UNUSUAL = rf"[{CONNECTORS[1:]}[{FORMAT}]]"
 IDEOGRAPH = r"([\x{2E80}-\x{3FFFF}&&[\p{IsHan}\p{IsHiragana}]]\p{M}*+)"
 LINE_BREAK = r"\r\n|\r|\n"
 
+# Characters of script Katakana and those that are treated as such, emoji that
+# are shown as such by themselves, and symbols that are with a selector behind them.
+KATAKANA = r"\p{IsKatakana}\x{3031}-\x{3035}\x{309B}\x{309C}\x{30A0}\x{30FC}\x{FF70}"
+SHOWN = (
+    "231A-231B 23E9-23EC 23F0 23F3 25FD-25FE 2614-2615 2648-2653 267F 2693 26A1 26AA-26AB "
+    "26BD-26BE 26C4-26C5 26CE 26D4 26EA 26F2-26F3 26F5 26FA 26FD 2705 270A-270B 2728 274C 274E "
+    "2753-2755 2757 2795-2797 27B0 27BF 2B1B-2B1C 2B50 2B55 1F004 1F0CF 1F18E 1F191-1F19A 1F201 "
+    "1F21A 1F22F 1F232-1F236 1F238-1F23A 1F250-1F251 1F300-1F320 1F32D-1F335 1F337-1F37C "
+    "1F37E-1F393 1F3A0-1F3CA 1F3CF-1F3D3 1F3E0-1F3F0 1F3F4 1F3F8-1F3FA 1F400-1F43E 1F440 "
+    "1F442-1F4FC 1F4FF-1F53D 1F54B-1F54E 1F550-1F567 1F57A 1F595-1F596 1F5A4 1F5FB-1F64F "
+    "1F680-1F6C5 1F6CC 1F6D0-1F6D2 1F6D5-1F6D7 1F6DC-1F6DF 1F6EB-1F6EC 1F6F4-1F6FC 1F7E0-1F7EB "
+    "1F7F0 1F90C-1F93A 1F93C-1F945 1F947-1F9FF 1FA70-1FAFF"
+)
+SYMBOLS = (
+    "A9 AE 203C 2049 2122 2190-21FF 2300-23FF 25A0-27BF 2900-297F 2B00-2BFF 3030 303D 3297 3299 "
+    "1F000-1FAFF"
+)
+FLAG, SKIN, TAG = r"[\x{1F1E6}-\x{1F1FF}]", r"[\x{1F3FB}-\x{1F3FF}]", r"[\x{E0020}-\x{E007F}]"
+
+
+def char_ranges(listed: str) -> str:
+    """The inside of a character class from a list of code points and ranges of them."""
+    return "".join(
+        "-".join(rf"\x{{{end}}}" for end in part.split("-")) for part in listed.split()
+    )
+
+
+# At most nine joined emoji make one; a longer chain goes on as the next.
+EMOJI = rf"(?:[{char_ranges(SHOWN)}]\x{{FE0F}}?|[{char_ranges(SYMBOLS)}]\x{{FE0F}}){SKIN}?"
+EMOJI_TOKEN = (
+    rf"({FLAG}{{2}}|[0-9]\x{{FE0F}}?\x{{20E3}}|{EMOJI}(?:\x{{200D}}{EMOJI}){{0,8}}+{TAG}{{0,32}}+)"
+    rf"|[{char_ranges(SYMBOLS)}]"
+)
+# Between katakana and other letters or digits there is a break, whatever marks are between.
+MARKS = rf"[\p{{M}}\x{{FF9E}}\x{{FF9F}}[{FORMAT}]]{{0,8}}"
+NOT_KATAKANA = rf"[\p{{L}}\p{{Nl}}\p{{Nd}}&&[^{KATAKANA}\x{{FF9E}}\x{{FF9F}}]]"
+KATAKANA_BREAK = (
+    rf"(?<=[{KATAKANA}]{MARKS})(?={NOT_KATAKANA})|(?<={NOT_KATAKANA}{MARKS})(?=[{KATAKANA}])"
+)
+# Format characters beside a joining mark do not part what it joins, up to eight of them.
+_LETTER = rf"[\p{{L}}\p{{M}}\p{{Nl}}&&[^{KATAKANA}]]"
+_BETWEEN = rf"[{FORMAT}]{{0,8}}"
+UNUSUAL_SEPARATOR = (
+    rf"[^\p{{L}}\p{{M}}\p{{Nl}}\p{{Nd}}{CONNECTORS}{KATAKANA}{char_ranges(SYMBOLS)}[{FORMAT}]]"
+    rf"(?<!{_LETTER}{_BETWEEN}{JOINS_LETTERS}(?={_BETWEEN}{_LETTER}))"
+    rf"(?<!\p{{Nd}}{_BETWEEN}{JOINS_DIGITS}(?={_BETWEEN}\p{{Nd}}))"
+)
+UNUSUAL = rf"[{CONNECTORS[1:]}{KATAKANA}{char_ranges(SYMBOLS)}[{FORMAT}]]|\x{{20E3}}"
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body``."""
@@ -77,10 +123,13 @@ def without_loose_format(pieces: Column) -> Column:
 def tokenize(text: Column) -> Column:
     """Array of lower-cased word tokens in text order.
 
-    Ideographs stand alone; tokens longer than the limit are cut into pieces.
+    Ideographs and emoji stand alone, katakana does not join other letters; tokens longer
+    than the limit are cut into pieces.
     """
     spaced = F.regexp_replace(lower_simple(text), IDEOGRAPH, " $1 ")
-    unusual = F.filter(let(F.split(spaced, SEPARATOR), without_loose_format), is_word)
+    apart = F.regexp_replace(spaced, KATAKANA_BREAK, " ")
+    apart = F.regexp_replace(apart, EMOJI_TOKEN, " $1 ")
+    unusual = F.filter(let(F.split(apart, UNUSUAL_SEPARATOR), without_loose_format), is_word)
     plain = F.filter(F.split(spaced, PLAIN_SEPARATOR), is_plain_word)
     # One look at the text tells whether every piece needs the longer tests.
     words = F.when(text.rlike(UNUSUAL), unusual).otherwise(plain)

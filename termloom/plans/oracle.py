@@ -38,9 +38,9 @@ FORMATS = (
 LETTERS = r"\p{L}\p{M}\p{Nl}"
 
 WORD = (
-    rf"[{LETTERS}]+(?:[{FORMATS}]+[{LETTERS}]+|[{JOINS_BOTH}{JOINS_LETTERS}][{LETTERS}]+)*[{FORMATS}]*"
+    rf"[{LETTERS}]+(?:[{FORMATS}]+[{LETTERS}]+|[{FORMATS}]*[{JOINS_BOTH}{JOINS_LETTERS}][{FORMATS}]*[{LETTERS}]+)*[{FORMATS}]*"
 )
-NUMBER = rf"\p{{Nd}}+(?:[{FORMATS}]+\p{{Nd}}+|[{JOINS_BOTH}{JOINS_DIGITS}]\p{{Nd}}+)*[{FORMATS}]*"
+NUMBER = rf"\p{{Nd}}+(?:[{FORMATS}]+\p{{Nd}}+|[{FORMATS}]*[{JOINS_BOTH}{JOINS_DIGITS}][{FORMATS}]*\p{{Nd}}+)*[{FORMATS}]*"
 TOKEN = rf"(?:[{CONNECTS}][{FORMATS}]*)*(?:{WORD}|{NUMBER})(?:{WORD}|{NUMBER}|[{CONNECTS}][{FORMATS}]*)*"
 
 
@@ -284,6 +284,14 @@ SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y %H:%M:%S') AS readable,
 FROM orders""",
         "range_filter": f"""
 SELECT doc_id, n_chars FROM documents WHERE n_chars BETWEEN {N_CHARS[0]} AND {N_CHARS[1]}""",
+        "range_documents": f"""
+WITH {DOCS}
+SELECT doc_id, path, lang, source, n_chars_str, CAST(n_chars_str AS BIGINT) AS n_chars
+FROM docs WHERE CAST(n_chars_str AS BIGINT) BETWEEN {N_CHARS[0]} AND {N_CHARS[1]}""",
+        "skip_unreadable": """
+SELECT lang, source, CASE WHEN lang = 'fr' THEN 'vanished' ELSE 'read' END AS status,
+       CAST(CASE WHEN lang = 'fr' THEN NULL ELSE sum(length(text) + 1) - 1 END AS INTEGER) AS n_chars
+FROM documents GROUP BY lang, source""",
         "format_term": f"""
 SELECT doc_id, printf({format_line}) AS line FROM ({best_terms_all_docs('tfxidf')})""",
         "build_postings": f"""

@@ -10,17 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.metadata import between, readable_date, sortable_date
 from termloom.functions.text import decode_utf8, extension, line_window, tokenize
 from termloom.functions.weights import ORDERS, REPRESENTATIONS
-from termloom.operators import clusters, index, ranking, similarity, statistics
+from termloom.operators import clusters, index, points, ranking, similarity, statistics
 from termloom.operators.index import Index
-from termloom.session import new_path, spread, stage
+from termloom.session import delete_path, list_folder, new_path, spread, stage
 from termloom.sinks import index_store, reports
-from termloom.sources.files import filter_extension, scan_files
+from termloom.sources.files import filter_extension, scan_accounted, scan_files
 from termloom.sources.tables import (
     TABLE_SPEC,
     benchmark_docs,
@@ -124,6 +124,26 @@ def q_scan_multi_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_terms(files.withColumn("table_name", name), "table_name")
 
 
+def q_skip_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per language and source; the French ones vanish between listing and reading."""
+    root = new_path(spark, "vanishing")
+    rows = read_table(spark, sf_dir, "documents").select("text", "lang", "source")
+    rows.repartition("lang", "source").write.partitionBy("lang", "source").text(root)
+    files = scan_accounted(spark, root, only_extensions=[".txt"])
+    for folder in list_folder(spark, root):
+        if folder.name == "lang=fr":
+            delete_path(spark, f"{root}/{folder.name}")
+
+    def of_path(name: str) -> Column:
+        value = F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+        return F.nullif(value, F.lit("__HIVE_DEFAULT_PARTITION__")).alias(name)
+
+    texts = F.regexp_replace(decode_utf8(F.col("content")), r"\n\z", "")
+    return files.select(
+        of_path("lang"), of_path("source"), "status", F.length(texts).alias("n_chars")
+    )
+
+
 def q_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     return pages.select("page_id", extension(F.col("url")).alias("extension"))
@@ -176,6 +196,10 @@ def q_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.filter(between(F.col("n_chars"), *N_CHARS))
 
 
+def q_range_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return points.range_documents(corpus(spark, sf_dir), n_chars=N_CHARS)
+
+
 def q_term_weight(rep: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(similarity.term_weights(corpus(spark, sf_dir), FIELD, rep), weight=9)
 
@@ -390,6 +414,8 @@ def queries() -> dict[str, Query]:
         "exact_terms": q_exact_terms,
         "format_dates": q_format_dates,
         "range_filter": q_range_filter,
+        "range_documents": q_range_documents,
+        "skip_unreadable": q_skip_unreadable,
         "format_term": q_format_term,
         "build_postings": q_build_postings,
         "term_vector": q_term_vector,

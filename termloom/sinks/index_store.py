@@ -59,6 +59,9 @@ LEAST_ROWS = 100_000
 # Documents of a writing task that share a folder: what a lookup can skip.
 CHUNK_DOCS = 1 << 16
 
+# What a search by doc_id or by a point reads at least.
+ROW_GROUP_BYTES = 16 << 20
+
 TABLES = ("documents", "postings", "term_stats", "hidden")
 PLACE = "batch string, chunk bigint"
 POSTINGS = "term string, doc_id bigint, chunk bigint, tf bigint, batch string, field string"
@@ -217,7 +220,7 @@ def write_documents(
         .option("parquet.bloom.filter.adaptive.enabled", "true")
         .option("parquet.bloom.filter.candidates.number", "9")
         .option("parquet.bloom.filter.max.bytes", str(2 * CHUNK_DOCS))
-        .option("parquet.block.size", str(16 << 20))
+        .option("parquet.block.size", str(ROW_GROUP_BYTES))
         .partitionBy("chunk")
         .parquet(f"{path}/documents/batch={name}")
     )

@@ -35,6 +35,12 @@ def name_glob(extensions: list[str]) -> str | None:
 
 LISTING = "path string, is_dir boolean, length bigint, modificationTime timestamp"
 FILE = "path string, modificationTime timestamp, length bigint, content binary"
+READ = f"{FILE}, status string"
+
+# Names in one outgoing batch of a listing, and what one reading task takes on.
+LISTED_ROWS = 10_000
+TASK_FILES = 2_000
+TASK_BYTES = 128 << 20
 
 
 # Fixed value: Hadoop's names of stores and those of the file systems in Arrow that serve them.
@@ -62,7 +68,10 @@ def _opened(path: str) -> tuple[fs.FileSystem, str, str]:
 
 
 def _listed(paths: DataFrame) -> DataFrame:
-    """What lies directly in each folder, listed in tasks; unreadable folders are empty."""
+    """What lies directly in each folder, listed in tasks; unreadable folders are empty.
+
+    A folder leaves its task in batches of ``LISTED_ROWS`` names, however many it holds.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,16 +82,17 @@ def _listed(paths: DataFrame) -> DataFrame:
                 except OSError:
                     continue
                 kinds = (fs.FileType.Directory, fs.FileType.File)
-                found = [f for f in found if f.type in kinds]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([prefix + f.path for f in found], pa.string()),
-                        pa.array([f.type == fs.FileType.Directory for f in found], pa.bool_()),
-                        pa.array([f.size for f in found], pa.int64()),
-                        pa.array([f.mtime for f in found], pa.timestamp("us", tz="UTC")),
-                    ],
-                    names=["path", "is_dir", "length", "modificationTime"],
-                )
+                for first in range(0, len(found), LISTED_ROWS):
+                    part = [f for f in found[first : first + LISTED_ROWS] if f.type in kinds]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([prefix + f.path for f in part], pa.string()),
+                            pa.array([f.type == fs.FileType.Directory for f in part], pa.bool_()),
+                            pa.array([f.size for f in part], pa.int64()),
+                            pa.array([f.mtime for f in part], pa.timestamp("us", tz="UTC")),
+                        ],
+                        names=["path", "is_dir", "length", "modificationTime"],
+                    )
 
     return paths.mapInArrow(work, LISTING)
 
@@ -96,42 +106,97 @@ def hidden(path: Column, root: str) -> Column:
     return F.substring(path, len(root) + 1, 1 << 30).rlike(SKIPPED)
 
 
-def refused_files(spark: SparkSession, root: str) -> DataFrame:
-    """The files below ``root`` that Spark's reader leaves out: hidden and empty ones.
+def list_files(spark: SparkSession, root: str) -> tuple[DataFrame, str]:
+    """(listing of every file below ``root``, the folder their names are counted from).
 
-    Folders are listed level by level in tasks, and the files are read in tasks.
+    Folders are listed level by level in tasks; the listing is a stored table.
     """
     system, inner, prefix = _opened(root)
     start = system.get_file_info(inner)
     here = prefix + inner.rstrip("/")
     if start.type == fs.FileType.File:
-        row = [(here, False, start.size, start.mtime)]
-        files = spark.createDataFrame(row, LISTING)
-        here = here.rsplit("/", 1)[0]  # a file's own name counts
-    else:
-        level = stage(_listed(spark.createDataFrame([(here,)], "path string")), "files-level")
-        files = level
-        while level.filter("is_dir").limit(1).count():
-            level = stage(_listed(level.filter("is_dir").select("path")), "files-level")
-            files = files.union(level)
-    wanted = files.filter("not is_dir").filter(hidden(F.col("path"), here) | (F.col("length") == 0))
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, path in enumerate(batch.column(0).to_pylist()):
+        files = spark.createDataFrame([(here, False, start.size, start.mtime)], LISTING)
+        return files, here.rsplit("/", 1)[0]  # a file's own name counts
+    level = stage(_listed(spark.createDataFrame([(here,)], "path string")), "files-level")
+    files = level
+    while level.filter("is_dir").limit(1).count():
+        folders = level.filter("is_dir").select("path")
+        many = folders.count()
+        spread_out = folders.repartition(min(many, spark.sparkContext.defaultParallelism))
+        level = stage(_listed(spread_out), "files-level")
+        files = files.union(level)
+    return files.filter("not is_dir"), here
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each listed file with its bytes, or with what kept them from being read."""
+    for batch in batches:
+        for i, path in enumerate(batch.column(0).to_pylist()):
+            content = None
+            try:
                 system, inner, _ = _opened(path)
-                try:
-                    with system.open_input_stream(inner) as opened:
-                        content = opened.read()
-                except OSError:
-                    continue
-                one = batch.slice(i, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [one.column(0), one.column(3), one.column(2), pa.array([content], pa.binary())],
-                    names=["path", "modificationTime", "length", "content"],
-                )
+                with system.open_input_stream(inner) as opened:
+                    content = opened.read()
+                status = "read"
+            except FileNotFoundError:
+                status = "vanished"
+            except PermissionError:
+                status = "denied"
+            except OSError:
+                status = "failed"
+            one = batch.slice(i, 1)
+            yield pa.RecordBatch.from_arrays(
+                [one.column(0), one.column(2), one.column(1), pa.array([content], pa.binary()), pa.array([status])],
+                names=["path", "modificationTime", "length", "content", "status"],
+            )
+
+
+def read_listed(listing: DataFrame) -> DataFrame:
+    """(path, modificationTime, length, content, status) of listed files, read in tasks.
+
+    Tasks get as many files or bytes as one takes on, so the files of one large flat folder
+    are read by many.  ``status`` is read, vanished, denied or failed; only read files have
+    content.
+    """
+    files = listing.select("path", "length", "modificationTime")
+    size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(size[0] // TASK_FILES, size[1] // TASK_BYTES, min(size[0], cores), 1)
+    return files.repartition(tasks).mapInArrow(_read, READ)
 
-    return wanted.select("path", "is_dir", "length", "modificationTime").mapInArrow(read, FILE)
+
+def refused_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files below ``root`` that Spark's reader leaves out: hidden and empty ones."""
+    files, here = list_files(spark, root)
+    wanted = files.filter(hidden(F.col("path"), here) | (F.col("length") == 0))
+    return read_listed(wanted).filter("status = 'read'").drop("status")
+
+
+def scan_accounted(
+    spark: SparkSession, roots: str | list[str], only_extensions: list[str] | None = None
+) -> DataFrame:
+    """Every listed file with the status of its reading: nothing is left out silently.
+
+    Columns are those of ``read_listed`` and ``root``.  Listing is done when this returns,
+    reading when the rows are asked for.  A missing root is an error.
+    """
+    found = []
+    for root in [roots] if isinstance(roots, str) else roots:
+        system, inner, _ = _opened(root)
+        if system.get_file_info(inner).type == fs.FileType.NotFound:
+            raise FileNotFoundError(root)
+        files, _ = list_files(spark, root)
+        if only_extensions is not None:
+            files = filter_extension(files, only_extensions)
+        found.append(read_listed(files).withColumn("root", F.lit(root)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def skipped_files(accounted: DataFrame) -> DataFrame:
+    """(root, status, n_files, n_bytes listed) of an accounted scan."""
+    return accounted.groupBy("root", "status").agg(
+        F.count("*").alias("n_files"), F.sum("length").alias("n_bytes")
+    )
 
 
 def scan_root(spark: SparkSession, root: str, only_extensions: list[str] | None) -> DataFrame:

@@ -2,18 +2,20 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import termloom as tl
 from termloom.session import new_path
+from termloom.sources import files
 
 
 @pytest.fixture
 def tree(tmp_path):
     (tmp_path / "sub.d").mkdir()
-    files = {
+    content = {
         "a.txt": b"Apple banana\napple\nend",
         "b.py": b"print",
         "sub.d/c.txt": b"x" * 3500,
@@ -21,8 +23,8 @@ def tree(tmp_path):
         "empty.txt": b"",
         "D.TXT": b"upper",
     }
-    for name, content in files.items():
-        (tmp_path / name).write_bytes(content)
+    for name, text in content.items():
+        (tmp_path / name).write_bytes(text)
     os.utime(tmp_path / "a.txt", (1577836799, 1577836799))
     return str(tmp_path)
 
@@ -112,3 +114,48 @@ def test_files_to_index_and_update(spark, tree):
     rows = found.documents.filter(F.col("path").endswith("b.py")).select("contents.terms").collect()
     assert [r["terms"] for r in rows] == [["changed", "text"]]
     assert found.documents.count() == 6
+
+
+def test_every_file_is_accounted_for(spark, tree, monkeypatch):
+    monkeypatch.setattr(files, "LISTED_ROWS", 4)
+    monkeypatch.setattr(files, "TASK_FILES", 10)
+    os.makedirs(f"{tree}/flat")
+    for k in range(50):
+        with open(f"{tree}/flat/{k}.txt", "w") as file:
+            file.write("x" * k)
+    found = files.scan_accounted(spark, tree)
+    os.remove(f"{tree}/b.py")
+    os.remove(f"{tree}/flat/7.txt")
+    os.remove(f"{tree}/flat/8.txt")
+    os.makedirs(f"{tree}/flat/8.txt")  # no longer a file
+    rows = {r["path"].rsplit("/", 1)[1]: r for r in found.collect()}
+    assert len(rows) == 56 and found.rdd.getNumPartitions() > 4
+    status = {name: r["status"] for name, r in rows.items()}
+    assert (status.pop("b.py"), status.pop("7.txt")) == ("vanished", "vanished")
+    assert status.pop("8.txt") in ("failed", "vanished", "denied")
+    assert set(status.values()) == {"read"}
+    assert rows["b.py"]["content"] is None and rows["9.txt"]["content"] == b"x" * 9
+    counts = {r["status"]: r["n_files"] for r in files.skipped_files(found).collect()}
+    assert counts["read"] == 53 and sum(counts.values()) == 56
+    only = files.scan_accounted(spark, [tree], only_extensions=[".TXT"])
+    assert [r["content"] for r in only.collect()] == [b"upper"]
+    with pytest.raises(FileNotFoundError):
+        files.scan_accounted(spark, f"{tree}/none")
+
+
+def test_what_keeps_a_file_from_being_read(monkeypatch):
+    class Refusing:
+        def __init__(self, error):
+            self.error = error
+
+        def open_input_stream(self, _):
+            raise self.error
+
+    errors = {"a": FileNotFoundError(), "b": PermissionError(), "c": OSError()}
+    monkeypatch.setattr(files, "_opened", lambda path: (Refusing(errors[path]), path, ""))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(list(errors)), pa.array([1, 2, 3]), pa.array([0, 0, 0], pa.timestamp("us"))],
+        ["path", "length", "modificationTime"],
+    )
+    got = [b.to_pylist()[0] for b in files._read(iter([batch]))]
+    assert [(r["status"], r["content"]) for r in got] == [("vanished", None), ("denied", None), ("failed", None)]

@@ -34,6 +34,11 @@ def evaluate(spark, texts, expression, kind="string"):
         ("  ...  __ ' ", ""),
         ("foo\u203fbar \u203f Ⅷ ⅷx", "foo\u203fbar ⅷ ⅷx"),
         ("co\u00adoperate \u00adx می\u200cروم a\u200bb", "co\u00adoperate x می\u200cروم a b"),
+        ("can\u00ad't a\u00ad\u2060.b x'\u00ady 1\u00ad,\u00ad2 a\u00ad'1", "can\u00ad't a\u00ad\u2060.b x'\u00ady 1\u00ad,\u00ad2 a\u00ad 1"),
+        ("アイb カ1 xア ラーメン カ'カ ｱﾞa", "アイ b カ 1 x ア ラーメン カ カ ｱﾞ a"),
+        ("hi😀there 👍🏽 👨\u200d👩\u200d👧 x❤\ufe0fy ❤ ✓ © ™ 1\ufe0f\u20e3", "hi 😀 there 👍🏽 👨\u200d👩\u200d👧 x ❤\ufe0f y 1\ufe0f\u20e3"),
+        ("🇫🇷🇩🇪🇪 a🇦b 🏽", "🇫🇷 🇩🇪 a b"),
+        ("🏴\U000e0067\U000e0062\U000e007f ok", "🏴\U000e0067\U000e0062\U000e007f ok"),
         ("", ""),
     ],
 )
