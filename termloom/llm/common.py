@@ -7,6 +7,7 @@ text byte stay small whatever the batch size is.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -148,11 +149,20 @@ def map_batches(
                     ],
                     schema=target,
                 )
-        pa.default_memory_pool().release_unused()  # workers live on after the task
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system: Python workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        return
+
+
 def small_side(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a staged table of a few fixed-width columns when it has few rows.
 

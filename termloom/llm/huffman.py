@@ -12,9 +12,6 @@ table ``code`` with the code length of every id, zero for ids that do not occur.
 
 from __future__ import annotations
 
-import functools
-import gc
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm import wordids
 from termloom.llm.common import map_batches, parallelism, range_bounds, range_of
 from termloom.session import new_path, stage
 
@@ -31,18 +29,12 @@ END = 0
 BLOCK_IDS = 1 << 18
 CHECKPOINT = 128
 MAX_BITS = 16
-#: Words a task keeps the ids of, in each of two generations.
-CACHED_WORDS = 320_000
-#: Marks that end many words; a byte-level tokenizer splits them from letters.
-MARKS = ",.;:!?|)"
 BLOCK_SCHEMA = (
     "part int, block long, start long, doc_ids array<bigint>, sizes array<bigint>,"
     " bits binary, checkpoints binary"
 )
 
 
-_WIDE_GAP = re.compile(r" \s")
-
 # Code lengths and codes
 
 
@@ -140,159 +132,17 @@ class Code:
 # Tokens
 
 
-class Encoder:
-    """Ids of texts by a byte-level tokenizer file, word by word through a cache.
-
-    The tokenizer splits at the borders between words and the single space in front of
-    them, so a text in which no white space follows a space is the sequence of its words;
-    those not seen before are encoded together.  Other texts, and texts with a special
-    token's string, are encoded whole.
-    """
-
-    def __init__(self, path: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.wide = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        gc.disable()  # strings and bytes have no cycles; passes over the cache cost more
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.by_word = _splits_at_spaces(self.tokenizer)
-        self.line_id = self._whole(["\n"])[0] if self.by_word else b""
-        self.marks = dict(zip(MARKS, self._whole(list(MARKS)), strict=True))
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.wide).tobytes() for e in found]
-
-    def _pieces(self, lead: str, words: list[str]) -> None:
-        """Encode words together, each behind ``lead`` (a space or nothing).
-
-        A word is the key of its ids behind a space, with a line end in front of it the
-        key of its ids without.
-        """
-        key = "" if lead else "\n"
-        for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            raw = self._whole([lead + ("\n" + lead).join(part)])[0]
-            ids = np.frombuffer(raw, dtype=self.wide)
-            cuts = np.flatnonzero(ids == np.frombuffer(self.line_id, dtype=self.wide)[0])
-            step = ids.itemsize
-            starts = [0, *((cuts + 1) * step).tolist()]
-            ends = [*(cuts * step).tolist(), len(raw)]
-            found = map(raw.__getitem__, map(slice, starts, ends))
-            self.young.update(zip((key + w for w in part), found, strict=True))
-
-    def _stem(self, word: str) -> str:
-        """The word without one mark at its end that the tokenizer always splits off."""
-        return word[:-1] if word[-1] in self.marks and word[:-1].isalpha() else word
-
-    def _learn(self, words: list[str]) -> None:
-        """Add the ids of words that stand behind a space."""
-        marks, young = self.marks, self.young
-        plain, marked, lines, whole = [], [], {}, []
-        spaced, bare = set(), set()
-        for word in words:
-            if word.isalpha():
-                plain.append(word)
-            elif word and word[-1] in marks and word[:-1].isalpha():
-                marked.append(word)
-                spaced.add(word[:-1])
-            elif word.split() == [word]:
-                plain.append(word)
-            else:
-                parts = word.split("\n")
-                if all(p and p.split() == [p] for p in parts):
-                    lines[word] = parts
-                    spaced.add(self._stem(parts[0]))
-                    bare.update(map(self._stem, parts[1:]))
-                else:
-                    whole.append(word)
-        spaced.difference_update(plain)
-        plain += [w for w in spaced if not self._known(w)]
-        self._pieces(" ", plain)
-        self._pieces("", [w for w in bare if not self._known("\n" + w)])
-        young.update({w: young[w[:-1]] + marks[w[-1]] for w in marked})
-        for word, parts in lines.items():
-            out = []
-            for k, part in enumerate(parts):
-                stem = self._stem(part)
-                out.append(self.line_id + young["\n" + stem] if k else young[stem])
-                if stem is not part:
-                    out.append(marks[part[-1]])
-            young[word] = b"".join(out)
-        for at in range(0, len(whole), 2000):
-            part = whole[at : at + 2000]
-            young.update(zip(part, self._whole([" " + w for w in part]), strict=True))
-
-    def _known(self, key: str) -> bool:
-        if key in self.young:
-            return True
-        ids = self.old.get(key)
-        if ids is None:
-            return False
-        self.young[key] = ids
-        return True
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian ids of each text, of two or four bytes."""
-        split: list[list[str] | None] = []
-        wanted: set[str] = set()
-        for text in texts:
-            if not self.by_word or _WIDE_GAP.search(text) or any(s in text for s in self.special):
-                split.append(None)
-            else:
-                words = text.split(" ")
-                wanted.update(words[1:])
-                split.append(words)
-        if len(self.young) > CACHED_WORDS:
-            self.young, self.old = {}, self.young
-        fresh = wanted.difference(self.young)
-        for word in fresh & self.old.keys():
-            self.young[word] = self.old[word]
-        new = [w for w in fresh if w not in self.old]
-        if new:
-            self._learn(new)
-        known = self.young.__getitem__
-        firsts = iter(self._whole([words[0] for words in split if words]))
-        others = iter(self._whole([t for t, words in zip(texts, split, strict=True) if words is None]))
-        return [
-            next(others) if words is None else next(firsts) + b"".join(map(known, words[1:]))
-            for words in split
-        ]
-
-
-def _splits_at_spaces(tokenizer) -> bool:
-    """Whether words may be encoded alone: byte-level pieces, no normaliser."""
-    return (
-        tokenizer.normalizer is None
-        and type(tokenizer.pre_tokenizer).__name__ == "ByteLevel"
-        and not tokenizer.pre_tokenizer.add_prefix_space
-        and len(tokenizer.encode("\n", add_special_tokens=False).ids) == 1
-    )
-
-
-@functools.lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def tokenize(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids) of every row: ids of four bytes each, the end id appended."""
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        encoder = _encoder(tokenizer)
-        step = np.dtype(encoder.wide).itemsize
-        end = np.array([END], dtype=encoder.wide).tobytes()
-        for at in range(0, len(batch.column(1)), 500):
-            texts = [t or "" for t in batch.column(1).slice(at, 500).to_pylist()]
-            rows = [raw + end for raw in encoder.encode(texts)]
+        ids = wordids.encoder(tokenizer)
+        step = np.dtype(ids.wide).itemsize
+        end_id = np.array([END], dtype=ids.wide).tobytes()
+        for first, end, found in ids.encode_column(batch.column(1)):
+            rows = [raw + end_id for raw in found]
             yield {
-                "doc_id": batch.column(0).slice(at, 500),
+                "doc_id": batch.column(0).slice(first, end - first),
                 "n_tokens": [len(r) // step for r in rows],
                 "wide": [step] * len(rows),
                 "ids": rows,
@@ -379,8 +229,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, text: str = "text") ->
             yield done()
 
     slim = parted.select("part", "doc_id", "wide", "ids")
-    tasks = max(len(bounds) + 1, 1)
-    ordered = slim.repartition(tasks, "part").sortWithinPartitions("part", "doc_id")
+    ordered = slim.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id")
     ordered.mapInArrow(encode, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
     lengths = [(int(i), int(code.lengths[i])) for i in np.flatnonzero(code.lengths)]
     spark.createDataFrame(lengths or [(0, 1)], "id int, bits int").coalesce(1).write.parquet(f"{path}/code")
