@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import parallelism
+from termloom.llm.common import give_back_memory, parallelism
 
 #: Text of a trie: distinct bytes in a task's own one, bytes of a range on average.
 LOCAL_BYTES = 32 << 20
@@ -168,7 +168,7 @@ def _deal(sent, ranges: int, repeated: int):
             yield from batches_of(out, DEALT_NAMES, DEALT_TYPES)
             out = []
         yield from batches_of(list(dealt()), DEALT_NAMES, DEALT_TYPES)
-        pa.default_memory_pool().release_unused()
+        give_back_memory()
 
     return deal
 
@@ -205,22 +205,26 @@ def _flag(repeated: int):
                 node.rows.append((i, part, mask, n))
             yield from batches_of(out, names, types)
         yield from batches_of(walk(root), names, types)
-        pa.default_memory_pool().release_unused()
+        give_back_memory()
 
     return flag
 
 
 def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of ordered texts, every so many a prefix that parts it from the one before it."""
-    before, k = None, 0
+    before, k, found = None, 0, []
+    last = None
     for batch in batches:
-        found = []
         for text in text_bytes(batch["text"]):
             k += 1
-            if k % SAMPLE_STEP == 0 and before is not None and before != text:
-                found.append(text[: len(os.path.commonprefix([before, text])) + 1])
+            if before is not None and before != text:
+                last = text[: len(os.path.commonprefix([before, text])) + 1]
+                if k % SAMPLE_STEP == SAMPLE_STEP // 2:
+                    found.append(last)
             before = text
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["start"])
+    if not found and last is not None:  # a short part of the sample marks one range too
+        found.append(last)
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["start"])
 
 
 def range_starts(texts: DataFrame, rows: int, ranges: int) -> list[bytes]:
