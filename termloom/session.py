@@ -100,11 +100,16 @@ _scopes: list[list[str]] = []
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: lineage ends at a table that outlives executors."""
+    return stage_at(df, label)[0]
+
+
+def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The same, and the path of the table, for who deletes it before the end."""
     path = new_path(df.sparkSession, label)
     if _scopes:
         _scopes[-1].append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 @contextmanager
