@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.session import stage
+from termloom.session import delete_path, stage, stage_at
 
 #: (list, host, path prefix)
 RULES = (
@@ -28,6 +28,8 @@ DAMPING = 0.85
 #: Ranks are settled when none changes by more in a round; so many rounds without that are an error.
 TOLERANCE = 1e-6
 ROUNDS = 500
+#: Rounds in one job; hosts whose ranks are sent to all executors; hosts in one file of ranks.
+TOGETHER, NEAR_HOSTS, FILE_HOSTS = 4, 200_000, 500_000
 #: A host is blocked when its distrust exceeds its trust by this share of both.
 THRESHOLD = 0.0
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*[a-z][a-z0-9+.-]*://([^/?#"'\s>]+)"""
@@ -101,39 +103,51 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return every.groupBy("source", "target").agg(F.sum("n").alias("n"))
 
 
-def personal_rank(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def personal_rank(
+    edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, by: tuple[str, ...] = ()
+) -> DataFrame:
     """(host, rank) of PageRank whose jumps go to ``seeds`` (host, weight).
 
     ``edges`` is (source, target, share), shares of a source summing to one.  Ranks are
     sums of weights, not shares of a whole: what a host gets does not shrink as others come.
-    Rounds go on until the largest change of a rank is at most ``TOLERANCE``.
+    ``by`` names columns of both that keep several graphs apart, which then go on together.
+    A job makes ``TOGETHER`` rounds and one table, and the table before it is deleted.
+    Rounds go on until no rank has changed by more than ``TOLERANCE`` in such a job.
     """
-    start = stage(seeds.select("host", F.col("weight").alias("jump")).filter("jump > 0"), "host-seeds")
-    rank = start.select("host", F.col("jump").alias("rank"))
-    none = F.lit(0.0).alias("old")
-    for _ in range(rounds):
-        sent = edges.join(rank.withColumnRenamed("host", "source"), "source").select(
-            F.col("target").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"), none
-        )
-        back = start.select("host", (F.col("jump") * (1 - damping)).alias("rank"), none)
-        before = rank.select("host", F.lit(0.0).alias("rank"), F.col("rank").alias("old"))
-        # Rounded, so that sums do not depend on the order of tasks.
-        after = stage(
-            sent.union(back).union(before).groupBy("host").agg(
-                F.round(F.sum("rank"), 12).alias("rank"), F.sum("old").alias("old")
-            ),
-            "host-rank",
-        )
-        rank = after.select("host", "rank")
-        moved = after.agg(F.max(F.abs(F.col("rank") - F.col("old"))).alias("m")).first()["m"]
-        if (moved or 0.0) <= TOLERANCE:
+    spark = edges.sparkSession
+    keys = [*by, "host"]
+    start = stage(seeds.select(*keys, F.col("weight").alias("jump")).filter("jump > 0"), "host-seeds")
+    rank, size = start.select(*keys, F.col("jump").alias("rank")), start.count()
+    back = start.select(*keys, (F.col("jump") * (1 - damping)).alias("rank"))
+    none, moved, path = F.lit(0.0).alias("old"), 0.0, None
+    for _ in range(0, rounds, TOGETHER):
+        after = rank
+        for _ in range(TOGETHER):
+            near = after.withColumnRenamed("host", "source")
+            near = F.broadcast(near) if size <= NEAR_HOSTS else near
+            sent = edges.join(near, [*by, "source"]).select(
+                *by, F.col("target").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")
+            )
+            # Rounded, so that sums do not depend on the order of tasks.
+            total = sent.union(back).groupBy(*keys).agg(F.round(F.sum("rank"), 12).alias("rank"))
+            after = total.coalesce(max(1, size // FILE_HOSTS + 1))
+        both = after.select(*keys, "rank", none).union(rank.select(*keys, F.lit(0.0), F.col("rank")))
+        table = both.groupBy(*keys).agg(F.sum("rank").alias("rank"), F.sum("old").alias("old"))
+        after, at = stage_at(table.coalesce(max(1, size // FILE_HOSTS + 1)), "host-rank")
+        seen = after.agg(F.max(F.abs(F.col("rank") - F.col("old"))).alias("m"), F.count("*").alias("n")).first()
+        if path:
+            delete_path(spark, path)
+        rank, path, moved, size = after.select(*keys, "rank"), at, seen["m"] or 0.0, seen["n"]
+        if moved <= TOLERANCE:
             return rank
     raise ValueError(f"ranks still change by {moved} after {rounds} rounds")
 
 
-def shares(edges: DataFrame) -> DataFrame:
-    out = edges.groupBy("source").agg(F.sum("n").alias("out"))
-    return edges.join(out, "source").select("source", "target", (F.col("n") / F.col("out")).alias("share"))
+def shares(edges: DataFrame, *by: str) -> DataFrame:
+    out = edges.groupBy(*by, "source").agg(F.sum("n").alias("out"))
+    return edges.join(out, [*by, "source"]).select(
+        *by, "source", "target", (F.col("n") / F.col("out")).alias("share")
+    )
 
 
 def judge_pages(pages: DataFrame, rules: Rules | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -160,15 +174,14 @@ def judge_pages(pages: DataFrame, rules: Rules | None = None, threshold: float =
         ),
         "host-judged",
     )
-    forward = stage(shares(edges), "host-forward")
-    turned = edges.select(F.col("target").alias("source"), F.col("source").alias("target"), "n")
-    backward = stage(shares(turned), "host-backward")
-    trust = personal_rank(forward, seeds.select("host", F.col("good").alias("weight")))
-    distrust = personal_rank(backward, seeds.select("host", F.col("bad").alias("weight")))
-    ranks = trust.withColumnRenamed("rank", "trust").join(
-        distrust.withColumnRenamed("rank", "distrust"), "host", "full"
-    )
-    ranks = stage(ranks.select("host", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("trust", "distrust"))), "host-trust")
+    # Distrust goes the other way; both are ranked in the same jobs.
+    turned = edges.select(F.lit("bad").alias("way"), F.col("target").alias("source"), F.col("source").alias("target"), "n")
+    ways = edges.select(F.lit("good").alias("way"), "source", "target", "n").union(turned)
+    given = F.inline(F.array(*(F.struct(F.lit(w).alias("way"), F.col(w).alias("weight")) for w in ("good", "bad"))))
+    both = personal_rank(stage(shares(ways, "way"), "host-ways"), seeds.select("host", given), by=("way",))
+    of_way = {w: F.coalesce(F.sum(F.when(F.col("way") == w, F.col("rank"))), F.lit(0.0)) for w in ("good", "bad")}
+    ranks = both.groupBy("host").agg(of_way["good"].alias("trust"), of_way["bad"].alias("distrust"))
+    ranks = stage(ranks, "host-trust")
     bad = F.col("distrust") - F.col("trust") > threshold * (F.col("distrust") + F.col("trust"))
     own = F.when(F.coalesce(bad, F.lit(False)), "block").otherwise("allow")
     return slim.join(ranks, "host", "left").select(
