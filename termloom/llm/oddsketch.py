@@ -9,7 +9,11 @@ comparison of the full shingle sets.
 Documents with equal sets become one class first, so no number of copies makes a pair.
 In a bucket every class is held against the bucket's leader.  Where that leaves several
 components in a bucket, its members get a fine sketch of many more samples and are
-compared across components by it, the best estimates of each first, then the rest.
+compared across components by it, block against block.  Two blocks give the most similar
+pairs that join their components, a forest: fewer pairs than members.  Rounds go on while
+any is confirmed and components grow.  What is still open then is settled by the full sets
+in the tasks themselves: every estimate that may reach the threshold is checked there, and
+only the forest of the links that hold comes out.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from termloom.llm.common import (
     NOT_SPACE,
     connected_components,
+    give_back_memory,
     map_batches,
     mix,
     pieces,
@@ -41,6 +46,8 @@ SKETCH_LEAST = 0.55
 #: The fine sketch estimates with a standard deviation of 0.014 around 0.75.
 FINE_SAMPLES, FINE_BITS, FINE_LEAST = 1024, 4096, 0.685
 BLOCK = 512
+#: Rows of a batch whose signatures are held at a time.
+SLICE = 512
 
 _U = np.uint64
 _RNG = np.random.default_rng(97)
@@ -109,8 +116,8 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         column = batch.column(1)
-        for at in range(0, max(len(column), 1), 2048):
-            part = column.slice(at, 2048)
+        for at in range(0, max(len(column), 1), SLICE):
+            part = column.slice(at, SLICE)
             n, a, b, samples = [], [], [], []
             for s in shingle_sets(part):
                 n.append(len(s))
@@ -119,7 +126,7 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
                 samples.append(samples_of(s))
             table = np.array(samples, dtype=np.uint64).reshape(-1, SAMPLES)
             yield {
-                "doc_id": batch.column(0).slice(at, 2048),
+                "doc_id": batch.column(0).slice(at, SLICE),
                 "n_shingles": np.array(n, dtype=np.int64),
                 "set_a": np.array(a, dtype=np.uint64).view(np.int64),
                 "set_b": np.array(b, dtype=np.uint64).view(np.int64),
@@ -140,40 +147,39 @@ def _lists(table: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(table.reshape(-1)))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int, text: str = "text") -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * common >= percent * union."""
-    ids = stage(
-        pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids"
-    )
-    wanted = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text")
-    ).join(small_side(ids), "doc_id", "left_semi")
+def full_sets(ids: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, shingles) of the documents in ``ids``: all hashes, sorted, as bytes."""
 
     def sets(batch: pa.RecordBatch) -> Iterator[dict]:
         column = batch.column(1)
-        for at in range(0, len(column), 512):
+        for at in range(0, len(column), 128):
             yield {
-                "doc_id": batch.column(0).slice(at, 512),
-                "shingles": [s.tobytes() for s in shingle_sets(column.slice(at, 512))],
+                "doc_id": batch.column(0).slice(at, 128),
+                "shingles": [s.tobytes() for s in shingle_sets(column.slice(at, 128))],
             }
 
-    full = stage(map_batches(wanted, "doc_id bigint, shingles binary", sets), "near-sets")
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    wanted = slim.join(small_side(ids), "doc_id", "left_semi")
+    return map_batches(wanted, "doc_id bigint, shingles binary", sets)
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, percent: int, text: str = "text") -> DataFrame:
+    """The pairs (a, b) whose full shingle sets have 100 * common >= percent * union."""
+    ids = stage(
+        pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids"
+    )
+    full = stage(full_sets(ids, docs, text), "near-sets")
     one = full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     two = full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
 
     def judge(batch: pa.RecordBatch) -> Iterator[dict]:
         cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-        keep = []
-        for x, y in zip(cols["set_a"], cols["set_b"], strict=True):
-            x = np.frombuffer(x.as_py(), dtype=np.uint64)
-            y = np.frombuffer(y.as_py(), dtype=np.uint64)
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                keep.append(False)
-                continue
-            both = np.concatenate([x, y])
-            both.sort()
-            common = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
+        keep = [
+            similar(
+                np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64), percent
+            )
+            for x, y in zip(cols["set_a"], cols["set_b"], strict=True)
+        ]
         chosen = pa.array(keep, type=pa.bool_())
         yield {"a": cols["a"].filter(chosen), "b": cols["b"].filter(chosen)}
 
@@ -213,12 +219,12 @@ def fine_sketches(ids: DataFrame, docs: DataFrame, text: str = "text") -> DataFr
     return map_batches(wanted, "doc_id bigint, sketch array<bigint>", work)
 
 
-def rest_pairs(rows: DataFrame, top: int, percent: int) -> DataFrame:
-    """Best possible pairs between components of a bucket.
+def rest_pairs(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Pairs (a, b) that join components of a bucket, a forest for any two blocks of it.
 
-    ``rows`` has key, doc_id, component, n_shingles, the fine sketch and blocks, the
-    number of blocks of its bucket.  A bucket is cut into blocks, a task sees two blocks at most,
-    and of each member only the ``top`` best partners outside its component come out.
+    ``rows`` has key, doc_id, component, n_shingles, the fine sketch, shingles (the full
+    set, where ``exact``) and blocks, the number of blocks of its bucket.  A task sees two
+    blocks at a time.  ``exact`` gives links only, and as many as connect what can be.
     """
     mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("mine", mine).withColumn(
@@ -227,68 +233,94 @@ def rest_pairs(rows: DataFrame, top: int, percent: int) -> DataFrame:
     dealt = dealt.withColumn("low", F.least("mine", "other")).withColumn(
         "high", F.greatest("mine", "other")
     )
-
     dealt = dealt.select(
-        "key", "low", "high", "doc_id", "component", "n_shingles", "mine", "sketch"
+        "key", "low", "high", "doc_id", "component", "n_shingles", "mine", "sketch",
+        *(["shingles"] if exact else []),
     )
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for numbers, sketches in _groups(batches):
-            pairs = _best_partners(numbers, sketches, top, percent)
+    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for numbers, sketches, sets in _groups(batches):
+            pairs = _forest(numbers, sketches, sets, percent)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"]
             )
+        give_back_memory()
 
     ordered = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return ordered.mapInArrow(best, "a bigint, b bigint").distinct()
+    return ordered.mapInArrow(forest, "a bigint, b bigint").distinct()
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(numbers, sketches) of each run of equal first three columns in sorted batches."""
+def _groups(
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes] | None]]:
+    """(numbers, sketches, sets) of each run of equal first three columns in sorted batches."""
     numbers = np.zeros((0, 7), dtype=np.int64)
     sketches = np.zeros((0, FINE_BITS // 64), dtype=np.uint64)
+    sets: list[bytes] | None = None
     for batch in batches:
         fresh = [np.asarray(batch.column(i), dtype=np.int64) for i in range(7)]
         flat = np.asarray(batch.column(7).flatten(), dtype=np.int64).view(np.uint64)
         numbers = np.concatenate([numbers, np.stack(fresh, axis=1)])
         sketches = np.concatenate([sketches, flat.reshape(-1, FINE_BITS // 64)])
+        if batch.num_columns > 8:
+            sets = (sets or []) + batch.column(8).to_pylist()
         cuts = np.flatnonzero((numbers[1:, :3] != numbers[:-1, :3]).any(axis=1)) + 1
         for low, high in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=False):
-            yield numbers[low:high], sketches[low:high]
+            yield numbers[low:high], sketches[low:high], sets and sets[low:high]
         if len(cuts):
             numbers, sketches = numbers[cuts[-1] :], sketches[cuts[-1] :]
+            sets = sets and sets[cuts[-1] :]
     if len(numbers):
-        yield numbers, sketches
+        yield numbers, sketches, sets
 
 
-def _best_partners(
-    numbers: np.ndarray, sketches: np.ndarray, top: int, percent: int
-) -> np.ndarray:
-    """Pairs (smaller id, larger id): of each member its best partners elsewhere."""
-    _, low, high, ids, comp, n, side = numbers.T
+def _may_be_links(numbers: np.ndarray, sketches: np.ndarray, percent: int) -> np.ndarray:
+    """(odd bits, i, j) of the pairs across components that sizes and sketches leave possible."""
+    _, low, high, _, comp, n, side = numbers.T
     split = low[0] != high[0]
-    far = FINE_BITS + 1
     most = most_odd_bits(FINE_LEAST, FINE_SAMPLES, FINE_BITS)
-    out = []
-    for at in range(0, len(ids), 32):
+    out = [np.zeros((0, 3), dtype=np.int32)]
+    for at in range(0, len(numbers), 32):
         i = slice(at, at + 32)
-        odd = np.bitwise_count(sketches[i, None, :] ^ sketches[None, :, :]).sum(
-            axis=2, dtype=np.int64
-        )
         may = comp[i, None] != comp[None, :]
+        may &= np.arange(len(numbers))[i, None] < np.arange(len(numbers))[None, :]
         may &= 100 * np.minimum(n[i, None], n) >= percent * np.maximum(n[i, None], n)
-        may &= odd <= most
         if split:
             may &= side[i, None] != side[None, :]
-        if not may.any():
+        x, y = np.nonzero(may)
+        for part in range(0, len(x), 1 << 14):
+            a, b = x[part : part + (1 << 14)] + at, y[part : part + (1 << 14)]
+            odd = np.bitwise_count(sketches[a] ^ sketches[b]).sum(axis=1, dtype=np.int32)
+            good = odd <= most
+            out.append(np.stack([odd[good], a[good], b[good]], axis=1).astype(np.int32))
+    return np.concatenate(out)
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share ``percent`` of their union."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _forest(
+    numbers: np.ndarray, sketches: np.ndarray, sets: list[bytes] | None, percent: int
+) -> np.ndarray:
+    """Pairs (smaller id, larger id), the most similar first, that join components."""
+    found = _may_be_links(numbers, sketches, percent)
+    ids = numbers[:, 3]
+    _, tree = np.unique(numbers[:, 4], return_inverse=True)  # the component each row is in
+    arrays = sets and [np.frombuffer(s, dtype=np.uint64) for s in sets]
+    out = []
+    for _, i, j in found[np.argsort(found[:, 0], kind="stable")].tolist():
+        if tree[i] == tree[j] or (arrays and not similar(arrays[i], arrays[j], percent)):
             continue
-        odd[~may] = far
-        order = np.argsort(odd, axis=1, kind="stable")[:, :top]
-        rows = np.broadcast_to(np.arange(len(odd))[:, None], order.shape)
-        good = odd[rows, order] < far
-        x, y = ids[i][rows[good]], ids[order[good]]
-        out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-    return np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
+        tree[tree == tree[j]] = tree[i]
+        out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+    return np.array(out, dtype=np.int64).reshape(-1, 2)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, text: str = "text") -> DataFrame:
@@ -322,8 +354,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, text: str = "text") -> D
     labels = connected_components(links, "near-components")
     # Buckets of two are settled: their one pair has been judged.
     larger = crowded.filter("n > 2").select("key", "n", F.col("b").alias("doc_id"))
-    fine = None
-    for top in (8, 1 << 30):
+    fine, exact = None, False
+    while True:
         marked = larger.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
         marked = marked.withColumn("component", F.coalesce("component", "doc_id"))
         open_keys = marked.groupBy("key").agg(
@@ -334,19 +366,28 @@ def near_duplicates(docs: DataFrame, percent: int = 75, text: str = "text") -> D
             "blocks", F.ceil(F.col("n") / BLOCK)
         )
         rows = stage(rows.select("key", "doc_id", "component", "blocks"), "near-open")
+        if not rows.limit(1).count():
+            break
+        ids = rows.select("doc_id").distinct()
         if fine is None:  # later rounds have no bucket that is not open now
-            fine = fine_sketches(stage(rows.select("doc_id").distinct(), "near-ids"), docs, text)
+            fine = fine_sketches(stage(ids, "near-ids"), docs, text)
             fine = stage(fine.dropDuplicates(["doc_id"]), "near-fine")
-        rows = rows.join(members.select("doc_id", "n_shingles").join(fine, "doc_id"), "doc_id")
-        rest = stage(rest_pairs(rows, top, percent), "near-rest")
-        if not rest.limit(1).count():
+        facts = members.select("doc_id", "n_shingles").join(fine, "doc_id")
+        if exact:
+            full = full_sets(stage(ids, "near-ids"), docs, text).dropDuplicates(["doc_id"])
+            facts = facts.join(stage(full, "near-sets"), "doc_id")
+        rest = stage(rest_pairs(rows.join(facts, "doc_id"), percent, exact), "near-rest")
+        if exact:
+            links = links.union(rest)
+            labels = connected_components(links, "near-components")
             break
         more = stage(rest.join(tried, ["a", "b"], "left_anti"), "near-more")
-        if more.limit(1).count():
-            found = stage(confirm(more, docs, percent, text), "near-links")
-            tried, links = tried.union(more), links.union(found)
-            if found.limit(1).count():
-                labels = connected_components(links, "near-components")
+        found = stage(confirm(more, docs, percent, text), "near-links")
+        tried, links = tried.union(more), links.union(found)
+        # Without another link the best estimates have failed: the rest is for the full sets.
+        exact = not found.limit(1).count()
+        if not exact:
+            labels = connected_components(links, "near-components")
     labels = labels.withColumnRenamed("id", "rep")
     reps = classes.withColumnRenamed("doc_id", "rep").join(labels, "rep", "left")
     reps = reps.select(*sets, F.coalesce("component", "rep").alias("component_id"))
