@@ -1,6 +1,9 @@
 """The stages of the corpus pipeline: (spark, docs, sf_dir) to documents or token ids.
 
 All but the last return the columns of their input; each decides by its own input alone.
+Filters decide by ``doc_id``: rows without an id stay, rows that share one stay or go
+together.  Null, empty and wordless texts are neither toxic, copies nor contaminated.
+Extra columns are carried through, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -19,6 +22,12 @@ def _without(docs: DataFrame, gone: DataFrame, label: str) -> DataFrame:
     return docs.join(stage(gone.distinct(), label), "doc_id", "left_anti").select(*docs.columns)
 
 
+def _spare(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that ``docs`` does not have."""
+    longest = max(len(c) for c in docs.columns)
+    return [f"{name}_".ljust(longest + 1, "_") for name in names]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at the threshold or above go."""
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -43,12 +52,17 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it; rows that share an id are alike."""
-    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_n"))
-    copies = stage(copies.filter("_n > 0"), "mix-chosen")
-    chosen = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"]))
-    repeated = F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))
-    return chosen.withColumn("_copy", repeated).select(*docs.columns)
+    """Every document as many times as the mix takes it.
+
+    Rows that share an id, or have none, are taken equally often: as often as the one of
+    them that is taken most.  Documents without words are taken once.
+    """
+    ident, times, turn = _spare(docs, "id", "times", "turn")
+    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias(ident)).agg(F.max("copies").alias(times))
+    copies = stage(copies.filter(F.col(times) > 0), "mix-chosen")
+    chosen = docs.join(copies, docs["doc_id"].eqNullSafe(copies[ident]))
+    repeated = F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))
+    return chosen.withColumn(turn, repeated).select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

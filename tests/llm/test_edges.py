@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from termloom.llm import decontaminate, egojoin, hosttrust, huffman, mixing, oddsketch
 from termloom.llm import pseudolm, sharding, stages, suffixdedup, toxicity
 from termloom.llm.queries import tokenizer_file
@@ -194,3 +195,32 @@ def test_stages_keep_rows_without_an_id(spark, tmp_path):
     kept = stages.drop_contaminated(spark, stages.drop_near_copies(spark, docs, str(tmp_path)), str(tmp_path))
     assert kept.filter("doc_id is null").count() == 1
     assert {1, 2, 6}.isdisjoint(r["doc_id"] for r in kept.collect())
+
+
+def test_stages_of_odd_tables(spark, tmp_path):
+    """Nulls, repeated rows, no rows, and columns named like those that stages use inside."""
+    folder = str(tmp_path)
+    items(spark, [(1, PASSAGE), (2, None)]).write.parquet(f"{folder}/benchmark.parquet")
+    labels = [(i, 1, 0) for i, _ in TEXTS] + [(None, 1, 1), (1, None, None)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    extra = ["_id", "_n", "_copy", "id_", "times_", "turn_", "copies", "kept", "score", "spans", "row", "target"]
+    rows = [*TEXTS, (None, "a row without id"), (11, "word")]
+    for docs in (table(spark, rows), table(spark, [])):
+        docs = docs.select("*", *(F.lit(7).alias(name) for name in extra))
+        kept = {}
+        for name, step in corpus_pipeline.STAGES[:-1]:
+            after = step(spark, docs, folder)
+            assert after.columns == docs.columns
+            kept[name] = sorted((r["doc_id"] or 0, r["text"] or "") for r in after.collect())
+        plain_rows = sorted((i or 0, t or "") for i, t in rows) if docs.count() else []
+        gone = {k: {r[0] for r in plain_rows} - {r[0] for r in v} for k, v in kept.items()}
+        if plain_rows:
+            assert kept["toxicity"] == plain_rows
+            near = plain.near_rows(TEXTS)
+            assert gone["near_dedup"] == {i for i, v in near.items() if not v[2]}
+            assert gone["decontaminate"] == {1, 2, 6}
+            assert set(kept["mix"]) <= set(plain_rows)
+        else:
+            assert not any(kept.values())
+        encoded = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+        assert encoded.count() == len(plain_rows)
