@@ -37,16 +37,26 @@ def _loads(rows: DataFrame, shards: int) -> list[int]:
     return out
 
 
+def start_labels(linked: DataFrame, shards: int) -> DataFrame:
+    """``linked`` with a shard for each row that knows nothing of its links."""
+    return linked.withColumn("shard", F.floor(unit("row", F.lit(1)) * shards).cast("int"))
+
+
+def cut_edges(labels: DataFrame) -> float:
+    """How many links (grp, shard) join documents of different shards, from counts."""
+    held = labels.groupBy("grp", "shard").agg(F.count("*").cast("double").alias("n"))
+    cut = held.groupBy("grp").agg((F.pow(F.sum("n"), F.lit(2)) - F.sum(F.col("n") * F.col("n"))).alias("n"))
+    return (cut.agg(F.sum("n").alias("n")).first()["n"] or 0.0) / 2
+
+
 def propagate(linked: DataFrame, shards: int, capacity: float, rounds: int = ROUNDS) -> DataFrame:
     """(row, shard) of linked rows (row, grp, size), by rounds of capped moves.
 
-    A round offers each group the shard that already holds most of it among those with
-    room.  Groups of less than an eighth of a shard move as a whole, larger ones by
-    document.  It ends when no move is left or granted.
+    Labels start at random.  A round offers each group the shard that already holds most
+    of it among those with room.  Groups of less than an eighth of a shard move as a whole,
+    larger ones by document.  It ends when no move is left or granted.
     """
-    state = stage(
-        linked.withColumn("shard", F.floor(unit("grp", F.lit(1)) * shards).cast("int")), "shard-state"
-    )
+    state = stage(start_labels(linked, shards), "shard-state")
     loads = _loads(state, shards)
     # The start may overfill a shard; what is too much leaves it at random.
     over = [max(0.0, 1 - capacity / n) if n else 0.0 for n in loads]

@@ -140,6 +140,27 @@ def test_a_group_larger_than_a_shard_is_cut_evenly(spark):
     assert sum(n >= 20 for n in held) <= 3
 
 
+def test_propagation_gathers_groups_that_start_apart(spark):
+    """No shard is overfull here; labels start without regard to links."""
+    rows = [(i, i // 4, 10 + i % 3) for i in range(400)]
+    linked = spark.createDataFrame([(i, f"g{g}", n) for i, g, n in rows], "row bigint, grp string, size bigint")
+    shards, capacity = 5, 2.0 * sum(r[2] for r in rows) / 5
+    before = {r["row"]: r["shard"] for r in sharding.start_labels(linked, shards).collect()}
+    after = {r["row"]: r["shard"] for r in sharding.propagate(linked, shards, capacity).collect()}
+    assert before.keys() == after.keys()
+    assert sum(before[i] != after[i] for i in before) > 200
+
+    def cut(labels):
+        pairs = [(i, j) for i in range(400) for j in range(i + 1, i // 4 * 4 + 4)]
+        frame = spark.createDataFrame([(f"g{i // 4}", s) for i, s in labels.items()], "grp string, shard int")
+        assert sharding.cut_edges(frame) == sum(labels[i] != labels[j] for i, j in pairs)
+        return sharding.cut_edges(frame)
+
+    assert cut(before) > 300 and cut(after) == 0
+    loads = [sum(n for i, _, n in rows if after[i] == k) for k in range(shards)]
+    assert max(loads) <= capacity
+
+
 def test_hosts(spark):
     link = '<a class=x href="http://bad.net/x">'
     pages = spark.createDataFrame(
