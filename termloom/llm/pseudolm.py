@@ -29,6 +29,8 @@ VOCABULARY = CLASSES * WITHIN
 ROUNDS = 2
 BATCH = 1 << 14
 RATE = 0.08
+STEEPEST = 60  # logits end here on both sides; what they give still sums to one
+_SHIFTS = (*range(REACH), *range(REACH + 1, 2 * REACH + 1))  # of the words around, from the first
 SHARE = 4096  # values of the parameters in one row of the exchange
 SALTS = 64
 
@@ -114,34 +116,44 @@ class Network:
             "word_bias": np.log(share / mass[:, None]).astype(np.float32),
         }
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
+    def hidden(self, padded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hidden states at the places ``at``, and the vectors of all of ``padded`` as columns.
+
+        The words around are shifted slices, so each vector is looked up once.
+        """
+        p, n = self.p, len(padded) - 2 * REACH
+        near = np.ascontiguousarray(p["vector"].take(padded, axis=0).T)
+        h = np.repeat(p["bias"][:, None], n, axis=1)
+        part = np.empty_like(h)
+        for k, shift in enumerate(_SHIFTS):
+            h += np.multiply(near[:, shift : shift + n], p["place"][k][:, None], out=part)
+        h = np.ascontiguousarray(h.T).take(at - REACH, axis=0)
+        return np.tanh(h, out=h), near
+
+    def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Of each word of ``padded`` at the places ``at`` given the words around it."""
         p = self.p
-        h = np.tile(p["bias"], (len(context), 1))
-        for k in range(2 * REACH):
-            h += p["vector"].take(context[:, k], axis=0) * p["place"][k]
-        return np.tanh(h, out=h)
-
-    def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Of each target word given its context."""
-        h = self.hidden(context)
-        group, word = np.divmod(target, WITHIN)
-        logit = h @ self.p["class"] + self.p["class_bias"]
-        out = logit[np.arange(len(h)), group] - _log_sum(logit)
-        for c, rows in _by_class(group):
-            logit = h[rows] @ self.p["word"][c] + self.p["word_bias"][c]
-            out[rows] += logit[np.arange(len(rows)), word[rows]] - _log_sum(logit)
+        order, slices = _by_class(padded[at])
+        h, _ = self.hidden(padded, at[order])
+        group, word = np.divmod(padded[at[order]], WITHIN)
+        logit = h @ p["class"]
+        logit += p["class_bias"]
+        found = _log_share(logit, group)
+        for c, rows in slices:
+            np.add(h[rows] @ p["word"][c], p["word_bias"][c], out=logit[rows])
+        found += _log_share(logit, word)
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
-    def gradients(self, context: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean negative log-probability."""
+    def gradients(self, padded: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean negative log-probability of the words of ``padded`` at ``at``."""
         p = self.p
-        # By class, so the rows of one are a slice.
-        order = np.argsort((target // WITHIN).astype(np.uint8), kind="stable")
-        context, target = context[order], target[order]
-        h = self.hidden(context)
+        order, slices = _by_class(padded[at])
+        at = at[order]
+        target = padded[at]
+        h, near = self.hidden(padded, at)
         group, word = np.divmod(target, WITHIN)
-        ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
-        slices = [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
         g = {k: np.zeros_like(v) for k, v in p.items() if k in ("word", "word_bias", "vector")}
         d = _soft(h @ p["class"] + p["class_bias"])
         d[np.arange(len(h)), group] -= 1
@@ -156,37 +168,48 @@ class Network:
             dh[rows] += d[rows] @ p["word"][c].T
         dh *= 1 - h * h
         g["bias"] = dh.sum(axis=0)
-        g["place"] = np.empty_like(p["place"])
-        for k in range(2 * REACH):
-            near = context[:, k].astype(np.uint16)  # sorted by digits
-            order = np.argsort(near, kind="stable")
-            near = near[order]
-            first = np.flatnonzero(np.append(True, near[1:] != near[:-1]))
-            sums, at = np.add.reduceat(dh.take(order, axis=0), first, axis=0), near[first]
-            g["place"][k] = (sums * p["vector"][at]).sum(axis=0)
-            g["vector"][at] += sums * p["place"][k]
+        # Shifted back to the words around, where each word's parts are summed once.
+        n = len(padded) - 2 * REACH
+        spread = np.zeros((n, DIM), dtype=dh.dtype)
+        spread[at - REACH] = dh
+        spread, back = np.ascontiguousarray(spread.T), np.zeros_like(near)
+        g["place"], part = np.empty_like(p["place"]), np.empty_like(spread)
+        for k, shift in enumerate(_SHIFTS):
+            back[:, shift : shift + n] += np.multiply(spread, p["place"][k][:, None], out=part)
+            g["place"][k] = np.einsum("ij,ij->i", spread, near[:, shift : shift + n])
+        ids = padded.astype(np.uint16)  # sorted by digits
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        g["vector"][ids[first]] = np.add.reduceat(back.T.take(order, axis=0), first, axis=0)
         return {k: v / len(target) for k, v in g.items()}
 
 
-def _log_sum(logit: np.ndarray) -> np.ndarray:
-    top = logit.max(axis=1)
-    return top + np.log(np.exp(logit - top[:, None]).sum(axis=1))
+def _exp(logit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In place, (exponentials, their sums): logits end at ``STEEPEST``, so none overflows."""
+    np.exp(logit, out=logit)
+    return logit, logit @ np.ones(logit.shape[1], dtype=logit.dtype)
+
+
+def _log_share(logit: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    np.clip(logit, -STEEPEST, STEEPEST, out=logit)
+    picked = logit[np.arange(len(logit)), chosen]
+    return picked - np.log(_exp(logit)[1])
 
 
 def _soft(logit: np.ndarray) -> np.ndarray:
-    logit -= logit.max(axis=1, keepdims=True)
-    np.exp(logit, out=logit)
-    logit /= logit.sum(axis=1, keepdims=True)
+    np.clip(logit, -STEEPEST, STEEPEST, out=logit)
+    logit, sums = _exp(logit)
+    logit *= (1 / sums)[:, None]
     return logit
 
 
-def _by_class(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(group.astype(np.uint8), kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=CLASSES))
-    for c in range(CLASSES):
-        rows = order[ends[c - 1] if c else 0 : ends[c]]
-        if len(rows):
-            yield c, rows
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of the targets by class, and the classes with their slices of it."""
+    group = (target // WITHIN).astype(np.uint8)
+    ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+    slices = [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+    return np.argsort(group, kind="stable"), slices
 
 
 def contexts(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,7 +232,12 @@ def targets(place: np.ndarray, bounds: np.ndarray, turn: int, rounds: int) -> np
     return place[(within + shift.astype(np.int64)) % rounds == turn]
 
 
-_AROUND = np.array([*range(-REACH, 0), *range(1, REACH + 1)])
+def batches_of(padded: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first, words, places in them) of at most ``BATCH`` places each, with the words around."""
+    for first in range(0, len(place), BATCH):
+        here = place[first : first + BATCH]
+        low = here[0] - REACH
+        yield first, padded[low : here[-1] + REACH + 1], here - low
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, text: str = "text") -> Network:
@@ -234,10 +262,8 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, text: s
                     found = words_of(data, offsets, WORD_BYTE)
                     padded, place = contexts(words.look_up(found.hashes), found.bounds)
                     place = targets(place, found.bounds, turn, rounds)
-                    for at in range(0, len(place), BATCH):
-                        here = place[at : at + BATCH]
-                        g = local.gradients(padded[here[:, None] + _AROUND], padded[here])
-                        for k, v in g.items():
+                    for _, around, here in batches_of(padded, place):
+                        for k, v in local.gradients(around, here).items():
                             squares[k] += v * v
                             local.p[k] -= RATE / (turn + 1) * v / np.sqrt(squares[k])
                         seen += len(here)
@@ -312,9 +338,8 @@ def score(
             ids = words.look_up(found.hashes)
             padded, place = contexts(ids, found.bounds)
             logs = np.empty(len(ids))
-            for at in range(0, len(place), BATCH):
-                here = place[at : at + BATCH]
-                logs[at : at + BATCH] = model.log_probabilities(padded[here[:, None] + _AROUND], padded[here])
+            for at, around, here in batches_of(padded, place):
+                logs[at : at + BATCH] = model.log_probabilities(around, here)
             rare = np.flatnonzero(ids == 0)
             row = np.searchsorted(found.bounds, rare, side="right") - 1
             hashes, times = rare_words(found.hashes[rare], row, end - first)
