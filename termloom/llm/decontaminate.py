@@ -3,7 +3,8 @@
 The automaton of a bounded block of items is built once and sent to the tasks; each
 task streams the words of its documents through it and follows the length of the
 longest match.  A word is hit when it lies in an occurrence of a window: any
-``window`` consecutive words of an item, or all words of a shorter item.
+``window`` consecutive words of an item, or all words of a shorter item.  Spans of hit
+words beyond a limit of length or coverage can be cut out of the texts.
 
 Runs of words whose three-word sequences are all known to the block are found with
 numpy first; a window cannot lie outside such a run, so only they are streamed.
@@ -28,6 +29,9 @@ FOUND = (
     " item_ids array<bigint>"
 )
 
+#: A word and what follows it up to the next.
+UNIT = r"[0-9A-Za-z\x{80}-\x{10FFFF}]++[^0-9A-Za-z\x{80}-\x{10FFFF}]*+"
+
 _PLACES = mix(np.arange(7, 10, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -235,24 +239,36 @@ def benchmark_hits(
     Items of more than ``BLOCK_BYTES`` are cut into blocks by a hash of the id, one
     automaton and one pass each, so what is broadcast does not grow with the items.
     """
-    usable = items.filter("text is not null and item_id is not null").select(
-        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("binary").alias("text")
-    )
-    size = usable.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = -(-size // BLOCK_BYTES) or 1
     columns = ["doc_id", "n_words", "longest", "spans", "item_ids"]
-    if blocks == 1:
-        return _pass(docs, usable, window, text).select(*columns)
-    parts = []
-    for b in range(blocks):
-        chosen = usable.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        parts.append(_pass(docs, chosen, window, text, keyed=True))
+    chosen = _blocks(items)
+    if len(chosen) == 1:
+        return _pass(docs, chosen[0], window, text).select(*columns)
     keys = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(text).alias("key"))
-    merged = _combined(parts)
+    merged = _keyed_hits(docs, items, window, text, chosen)
     same = keys["id"].eqNullSafe(merged["doc_id"]) & (keys["key"] == merged["text_key"])
     return keys.join(merged, same).select(*columns)
 
 
+def _blocks(items: DataFrame) -> list[DataFrame]:
+    """(item_id, text) of the usable items, cut by a hash of the id into blocks of a bounded size."""
+    usable = items.filter("text is not null and item_id is not null").select(
+        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("binary").alias("text")
+    )
+    size = usable.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    n = -(-size // BLOCK_BYTES) or 1
+    if n == 1:
+        return [usable]
+    return [usable.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b) for b in range(n)]
+
+
+def _keyed_hits(
+    docs: DataFrame, items: DataFrame, window: int, text: str, chosen: list[DataFrame] | None = None
+) -> DataFrame:
+    """Hits with the hash of their text; with several blocks one row for each id and text."""
+    parts = [_pass(docs, block, window, text, keyed=True) for block in chosen or _blocks(items)]
+    return parts[0] if len(parts) == 1 else _combined(parts)
+
+
 def _combined(parts: list[DataFrame]) -> DataFrame:
     """Rows of several passes as one for each id and text: spans merged, items united."""
     every = parts[0]
@@ -287,17 +303,62 @@ def contaminated(n_hit, n_words):
     return (n_hit > 0) & (n_hit * 20 >= n_words)
 
 
-def remove_spans(words: list[bytes], spans: list[tuple[int, int]]) -> list[bytes]:
-    """The words of a text that lie in no span."""
-    keep = np.ones(len(words), dtype=bool)
-    for start, end in spans:
-        keep[start:end] = False
-    return [w for w, k in zip(words, keep, strict=True) if k]
+def removable(hits: DataFrame, least_words: int | None = WINDOW, least_share: float | None = 0.05) -> DataFrame:
+    """The rows of ``hits`` with spans to remove, and of their spans only those.
+
+    A span goes when it has ``least_words`` words or more, and every span of a text goes
+    when ``least_share`` or more of its words lie in spans.  None turns a limit off.
+    """
+    share = F.try_divide(n_covered(), F.col("n_words"))
+    covered = F.lit(False) if least_share is None else share >= least_share
+    every = F.when(covered, F.col("spans"))
+    none = F.slice("spans", 1, 0)
+    long = none if least_words is None else F.filter("spans", lambda s: s["end"] - s["start"] >= least_words)
+    return hits.withColumn("spans", F.coalesce(every, long)).filter(F.size("spans") > 0)
+
+
+def cut_passages(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    least_words: int | None = WINDOW,
+    least_share: float | None = 0.05,
+    text: str = "text",
+) -> DataFrame:
+    """The rows and columns of ``docs``, their texts without passages of the benchmark.
+
+    Spans go by the limits of ``removable``: their words, and what stands after each of
+    them up to the next word.  All else stays byte for byte, and so do texts without such a span,
+    null and empty ones included.  A text whose words all go keeps what stands before the
+    first.  Rows are told apart by id and text, so ids may be null or repeat; extra columns
+    may have any name.  Texts move only in a join with the ids that lose a span.
+    """
+    cuts = removable(_keyed_hits(docs, items, window, text), least_words, least_share)
+    cuts = cuts.select("doc_id", "text_key", "spans").dropDuplicates(["doc_id", "text_key"])
+    same = F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("c.doc_id"))
+    whole, names = F.col(f"d.`{text}`"), [f"d.`{c}`" for c in docs.columns]
+    joined = docs.alias("d").join(cuts.alias("c"), same & (F.xxhash64(whole) == F.col("c.text_key")), "left")
+    units = F.when(F.col("c.spans").isNotNull(), F.regexp_extract_all(whole, F.lit(UNIT), F.lit(0)))
+    split = joined.select(F.struct(*names).alias("row"), F.col("c.spans").alias("spans"), units.alias("units"))
+    whole, none = F.col("row")[text], F.lit(0).cast("bigint")
+    starts = F.concat(F.array(none), F.transform("spans", lambda s: s["end"]))
+    ends = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.size("units").cast("bigint")))
+    left = F.zip_with(starts, ends, lambda a, b: F.slice("units", (a + 1).cast("int"), (b - a).cast("int")))
+    before = F.length(whole) - F.length(F.array_join("units", ""))
+    clean = F.concat(F.substring(whole, F.lit(1), before), F.array_join(F.flatten(left), ""))
+    return split.withColumn("text", F.when(F.col("spans").isNull(), whole).otherwise(clean)).select(
+        *(F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns)
+    )
+
+
+def n_covered():
+    """Words of a row of hits that lie in spans."""
+    return F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
 
 
 def digest(hits: DataFrame) -> DataFrame:
     """The columns of the registered query."""
-    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    n_hit = n_covered()
     names = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
     return hits.select("doc_id", "n_words", n_hit.alias("n_hit"), "item_ids", "longest", names.alias("names")).select(
         "doc_id", "n_words", "n_hit",
