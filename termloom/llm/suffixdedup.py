@@ -43,6 +43,8 @@ SHARD_BYTES = 1_500_000
 MAX_SHARED = 4_000_000
 #: Groups of pieces whose bytes are summed first, to find those that hold an oversized piece.
 BUCKETS = 1 << 16
+#: What tells snippets apart in joins: two hashes of 64 bits, of a piece and of all bytes.
+KEYS = ["piece", "snippet_key"]
 #: Strings of one batch out of an oversized piece.
 STRINGS = 1 << 14
 
@@ -142,21 +144,22 @@ def snippets(texts: DataFrame, shared: DataFrame, span: int, gram: int) -> DataF
 
 
 def earlier_parts(different: DataFrame, shards: int, span: int) -> DataFrame:
-    """(snippet_key, doc_id, lows, highs): where smaller ids have a snippet's strings.
+    """(piece, snippet_key, lows, highs): where smaller ids have a snippet's strings.
 
     ``different`` is (piece, snippet, snippet_key, doc_id), the smallest id of each
     snippet.  The ranges are of start positions in the snippet.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, keys, ids = [], [], []
+        raw, of_piece, keys, ids = [], [], [], []
         for batch in batches:
+            of_piece.append(np.asarray(batch.column(0), dtype=np.int64))
             raw += batch.column(1).to_pylist()
             keys.append(np.asarray(batch.column(2), dtype=np.int64))
             ids.append(np.asarray(batch.column(3), dtype=np.int64))
         if not raw:
             return
-        keys, ids = np.concatenate(keys), np.concatenate(ids)
+        of_piece, keys, ids = np.concatenate(of_piece), np.concatenate(keys), np.concatenate(ids)
         sizes = np.array([len(s) for s in raw], dtype=np.int64) + 1
         ends = np.cumsum(sizes)
         data = np.frombuffer(b"\0".join(raw) + b"\0", dtype=np.uint8)
@@ -182,14 +185,14 @@ def earlier_parts(different: DataFrame, shards: int, span: int) -> DataFrame:
         offsets = pa.array(bounds.astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(keys[own]), pa.ListArray.from_arrays(offsets, pa.array(lows)),
-                pa.ListArray.from_arrays(offsets, pa.array(highs)),
+                pa.array(of_piece[own]), pa.array(keys[own]),
+                pa.ListArray.from_arrays(offsets, pa.array(lows)), pa.ListArray.from_arrays(offsets, pa.array(highs)),
             ],
-            names=["snippet_key", "lows", "highs"],
+            names=[*KEYS, "lows", "highs"],
         )
 
     dealt = different.select("piece", "snippet", "snippet_key", "doc_id").repartition(shards, "piece")
-    return dealt.mapInArrow(work, "snippet_key bigint, lows array<bigint>, highs array<bigint>")
+    return dealt.mapInArrow(work, "piece bigint, snippet_key bigint, lows array<bigint>, highs array<bigint>")
 
 
 def oversized(different: DataFrame) -> tuple[DataFrame | None, int]:
@@ -212,22 +215,22 @@ def earlier_strings(different: DataFrame, span: int) -> DataFrame:
     """``earlier_parts`` string by string, for pieces that no task should hold whole."""
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for key, doc, snippet in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+        for piece, key, doc, snippet in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
             for low in range(0, len(snippet) - span + 1, STRINGS):
                 at = range(low, min(low + STRINGS, len(snippet) - span + 1))
                 yield {
-                    "snippet_key": [key] * len(at), "doc_id": [doc] * len(at), "at": list(at),
+                    "piece": [piece] * len(at), "snippet_key": [key] * len(at), "doc_id": [doc] * len(at), "at": list(at),
                     "string": [snippet[k : k + span] for k in at],
                 }
 
-    schema = "snippet_key bigint, doc_id bigint, at bigint, string binary"
-    strings = stage(map_batches(different.select("snippet_key", "doc_id", "snippet"), schema, work), "suffix-strings")
+    schema = "piece bigint, snippet_key bigint, doc_id bigint, at bigint, string binary"
+    strings = stage(map_batches(different.select(*KEYS, "doc_id", "snippet"), schema, work), "suffix-strings")
     # Partial minima: a string in all snippets is one row per task.
     least = strings.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     least = small_side(stage(least.filter("least < most").select("string", "least"), "suffix-least"))
     hits = strings.join(least, "string").filter("least < doc_id")
-    return hits.groupBy("snippet_key").agg(F.collect_list("at").alias("lows")).select(
-        "snippet_key", "lows", F.transform("lows", lambda x: x + 1).alias("highs")
+    return hits.groupBy(*KEYS).agg(F.collect_list("at").alias("lows")).select(
+        *KEYS, "lows", F.transform("lows", lambda x: x + 1).alias("highs")
     )
 
 
@@ -238,7 +241,7 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     text and id.
     """
     shared = stage(piece_counts(texts, span, gram).filter("n > 1").select("piece"), "suffix-pieces")
-    rows = snippets(texts, shared, span, gram).withColumn("snippet_key", F.xxhash64("piece", "snippet"))
+    rows = snippets(texts, shared, span, gram).withColumn("snippet_key", F.xxhash64("snippet"))
     rows = stage(rows, "suffix-snippets")
     different = rows.groupBy("piece", "snippet", "snippet_key").agg(F.min("doc_id").alias("doc_id"))
     different = stage(different, "suffix-different")
@@ -252,11 +255,11 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
             earlier_strings(different.join(large, "piece", "left_semi"), span)
         )
     earlier = stage(earlier, "suffix-earlier")
-    owners = different.select("snippet_key", F.col("doc_id").alias("owner"))
-    found = owners.join(earlier, "snippet_key", "left")
-    slim = rows.select("doc_id", "text_key", "start", "snippet_key", F.octet_length("snippet").alias("n"))
+    owners = different.select(*KEYS, F.col("doc_id").alias("owner"))
+    found = owners.join(earlier, KEYS, "left")
+    slim = rows.select("doc_id", "text_key", "start", *KEYS, F.octet_length("snippet").alias("n"))
     # All of a snippet goes where it is not the first; of the first, what others have had.
-    marked = slim.join(found, "snippet_key").filter("n >= %d and (doc_id > owner or lows is not null)" % span)
+    marked = slim.join(found, KEYS).filter("n >= %d and (doc_id > owner or lows is not null)" % span)
     later = F.col("doc_id") > F.col("owner")
     lows = F.when(later, F.array(F.col("start"))).otherwise(F.transform("lows", lambda x: x + F.col("start")))
     highs = F.when(later, F.array(F.col("start") + F.col("n"))).otherwise(
