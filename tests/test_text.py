@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom.functions.metadata import size_kb, sortable_date, utc
+from termloom.functions import text as analysis
 from termloom.functions.text import (
     count_tokens,
     decode_utf8,
@@ -133,3 +134,15 @@ def test_sortable_date_is_utc(spark):
         assert spark.range(1).select(sortable_date(utc(stamp))).first()[0] == "20191231235959"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_no_unusual_character_passes_the_first_test(spark):
+    """The cheap test lets every character through that the long class holds, and no plain letter."""
+    code = spark.range(0, 0x110000).filter("id not between 55296 and 57343")
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    seen = code.select(
+        char.rlike(analysis.MAYBE_UNUSUAL).alias("maybe"), char.rlike(analysis.UNUSUAL).alias("is"), "id"
+    ).persist()
+    assert seen.filter("is").count() > 3000
+    assert seen.filter("is and not maybe").isEmpty()
+    assert [r["id"] for r in seen.filter("maybe and id < 1536").collect()] == [0xA9, 0xAD, 0xAE]
