@@ -117,6 +117,17 @@ def test_merge_equals_one_pass_and_keeps_equal_keys(spark, path):
     consistent(more)
 
 
+def test_an_index_merged_in_twice_counts_twice(spark, path):
+    part = new_path(spark, "part")
+    tl.write_index(docs(spark, ["a b", "a c", "a d"], ["p", "q", "r"]), SPEC, part)
+    found = tl.merge_indexes(spark, [part, part], path)
+    consistent(found)
+    assert {r["term"]: r["df"] for r in tl.doc_freq(found).collect()}["a"] == 6
+    found = tl.write_index(docs(spark, ["a x"], ["q"]), SPEC, path, "append", update=True)
+    assert [p for p, _ in contents(found)] == ["p", "p", "q", "r", "r"]
+    consistent(found)
+
+
 def test_wrong_use(spark, path):
     tl.write_index(docs(spark, ["a"]), SPEC, path)
     with pytest.raises(ValueError, match="mode"):
