@@ -256,3 +256,17 @@ def test_terms_clusters(corpus):
     assert sorted((t, s) for _, _, t, s in pairs(found)) == sorted(
         pairs(tl.similar_terms(corpus, "contents", "apple", 10, "tfxidf", nan="drop"))
     )
+
+
+def test_a_short_list_takes_no_job_per_step(spark, monkeypatch):
+    """Its centroids are those of a job per step, and the number of jobs does not grow with the steps."""
+    values = [((k * 7919) % 1000 / 1000) ** 3 for k in range(1000)] + [0.5, 0.5, 1.0, None]
+    points = spark.createDataFrame([(f"t{k}", v) for k, v in enumerate(values)], "term string, similarity double")
+    calls = []
+    inner = clusters.kmeans_assign
+    monkeypatch.setattr(clusters, "kmeans_assign", lambda *a: calls.append(a) or inner(*a))
+    short = clusters.kmeans_fit(points, 5)
+    assert not calls
+    monkeypatch.setattr(clusters, "SHORT", 10)
+    assert clusters.kmeans_fit(points, 5) == short
+    assert len(calls) > 5
