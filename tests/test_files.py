@@ -159,3 +159,26 @@ def test_what_keeps_a_file_from_being_read(monkeypatch):
     )
     got = [b.to_pylist()[0] for b in files._read(iter([batch]))]
     assert [(r["status"], r["content"]) for r in got] == [("vanished", None), ("denied", None), ("failed", None)]
+
+
+def test_a_large_file_leaves_python_in_pieces(spark, tree, monkeypatch):
+    """No batch holds more than a piece, and the rows are those of files read whole."""
+    rows = lambda: sorted(map(str, files.scan_accounted(spark, tree).collect()))
+    whole = rows()
+    monkeypatch.setattr(files, "PIECE_BYTES", 6)
+    assert rows() == whole
+    listing = pa.RecordBatch.from_pylist(
+        [{"path": f"{tree}/{n}", "length": 9, "modificationTime": None} for n in ("sub.d/c.txt", "empty.txt", "none")]
+    )
+    got = [b.to_pylist()[0] for b in files._pieces(iter([listing]))]
+    assert max(len(r["content"] or b"") for r in got) == 6
+    assert b"".join(r["content"] for r in got if "c.txt" in r["path"]) == b"x" * 3500
+    assert [(r["content"], r["status"], r["piece"]) for r in got[-2:]] == [(b"", "read", 0), (None, "vanished", 0)]
+
+
+def test_a_file_that_fails_half_way_has_no_content(spark):
+    rows = [("a", 2, b"cd", "read"), ("a", 0, b"ab", "read"), ("a", 3, None, "failed"), ("b", 1, b"z", "read"), ("b", 0, b"\xffy", "read")]
+    given = spark.createDataFrame(rows, "path string, piece bigint, content binary, status string")
+    timed = given.select("*", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(1).cast("bigint").alias("length"))
+    got = {r["path"]: (r["content"], r["status"]) for r in files._joined(timed).collect()}
+    assert got == {"a": (None, "failed"), "b": (b"\xffyz", "read")}
