@@ -146,3 +146,26 @@ def test_no_unusual_character_passes_the_first_test(spark):
     assert seen.filter("is").count() > 3000
     assert seen.filter("is and not maybe").isEmpty()
     assert [r["id"] for r in seen.filter("maybe and id < 1536").collect()] == [0xA9, 0xAD, 0xAE]
+
+
+def test_common_texts_take_no_step_for_ideographs_and_bytes_tell_long_words(spark):
+    from pyspark.sql import functions as F
+
+    from termloom.functions.text import COMMON, PLAIN_SEPARATOR, tokenize
+
+    # Every character that is listed is part of a word by the long class too.
+    listed = spark.createDataFrame([(c,) for c in COMMON], "c string")
+    assert listed.filter(~F.col("c").rlike(r"[\p{L}\p{M}\p{Nl}\p{Nd}_]")).count() == 0
+    assert listed.filter(F.col("c").rlike(PLAIN_SEPARATOR)).count() == 0
+    rows = {
+        "It's 3.5, na_ïve ÷ × Straße": ["it's", "3.5", "na_ïve", "straße"],
+        "_ __ a_ _b": ["a_", "_b"],
+        "é" * 200: ["é" * 200],  # 400 bytes, 200 characters: one word
+        "é" * 256: ["é" * 255, "é"],
+        "ab漢字cd": ["ab", "漢", "字", "cd"],
+        "": [],
+    }
+    docs = spark.createDataFrame([(t,) for t in rows], "t string")
+    got = {r["t"]: r["w"] for r in docs.select("t", tokenize(F.col("t")).alias("w")).collect()}
+    assert got == rows
+    assert docs.select(tokenize(F.lit(None).cast("string")).alias("w")).first()["w"] is None
