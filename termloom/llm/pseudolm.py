@@ -33,6 +33,8 @@ STEEPEST = 60  # logits end here on both sides; what they give still sums to one
 _SHIFTS = (*range(REACH), *range(REACH + 1, 2 * REACH + 1))  # of the words around, from the first
 SHARE = 4096  # values of the parameters in one row of the exchange
 SALTS = 64
+HEAD = 16  # leading bits by which words are looked up
+_REST = np.uint64(64 - HEAD)
 
 
 @dataclass
@@ -43,6 +45,8 @@ class Vocabulary:
     ids: np.ndarray
     log_share: np.ndarray
     other: int
+    first: np.ndarray  # where the hashes of each ``HEAD`` leading bits begin in ``order``
+    most: int  # such hashes at most
 
     @staticmethod
     def of(hashes: np.ndarray, counts: np.ndarray, other: int) -> Vocabulary:
@@ -51,13 +55,21 @@ class Vocabulary:
         share[0] += other
         share[1 : len(counts) + 1] += counts
         order = np.argsort(hashes)
-        return Vocabulary(hashes[order], order + 1, np.log(share / share.sum()), max(other, 1))
+        heads = np.bincount((hashes >> _REST).astype(np.int64), minlength=1 << HEAD)
+        first = np.cumsum(heads) - heads
+        log_share = np.log(share / share.sum())
+        return Vocabulary(hashes[order], order + 1, log_share, max(other, 1), first, int(heads.max()))
 
     def look_up(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.order):
             return np.zeros(len(hashes), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.order, hashes), len(self.order) - 1)
-        return np.where(self.order[at] == hashes, self.ids[at], 0)
+        # Few share their leading bits, so a word meets one or two of them, not a search.
+        start = self.first.take((hashes >> _REST).astype(np.int64))
+        found = np.zeros(len(hashes), dtype=np.int64)
+        for step in range(self.most):
+            at = np.minimum(start + step, len(self.order) - 1)
+            np.copyto(found, self.ids.take(at), where=self.order.take(at) == hashes)
+        return found
 
 
 def count_words(docs: DataFrame, text: str) -> DataFrame:
@@ -341,7 +353,7 @@ def score(
             for at, around, here in batches_of(padded, place):
                 logs[at : at + BATCH] = model.log_probabilities(around, here)
             rare = np.flatnonzero(ids == 0)
-            row = np.searchsorted(found.bounds, rare, side="right") - 1
+            row = np.repeat(np.arange(end - first), np.diff(found.bounds))[rare]
             hashes, times = rare_words(found.hashes[rare], row, end - first)
             yield {
                 "row": batch.column(0).slice(first, end - first),

@@ -115,3 +115,15 @@ def test_steep_logits_stay_finite():
     padded, place = sample()
     assert np.isfinite(network.log_probabilities(padded, place)).all()
     assert all(np.isfinite(g).all() for g in network.gradients(padded, place).values())
+
+
+def test_words_are_looked_up_without_a_search(monkeypatch):
+    rng = np.random.default_rng(4)
+    hashes = np.unique(rng.integers(0, 2**64, 5000, dtype=np.uint64))[: pseudolm.VOCABULARY - 1]
+    hashes[1:4] = hashes[0] + np.arange(1, 4, dtype=np.uint64)  # the same leading bits
+    hashes = rng.permutation(hashes)
+    vocabulary = pseudolm.Vocabulary.of(hashes, np.arange(len(hashes), 0, -1), 7)
+    monkeypatch.setattr(np, "searchsorted", None)
+    assert (vocabulary.look_up(hashes) == np.arange(len(hashes)) + 1).all()
+    others = np.append(np.setdiff1d(hashes + np.uint64(9), hashes), np.uint64(2**64 - 1))
+    assert not vocabulary.look_up(others).any()
