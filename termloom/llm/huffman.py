@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm import wordids
-from termloom.llm.common import map_batches, parallelism, range_bounds, range_of
-from termloom.session import new_path, stage
+from termloom.llm.common import give_back_memory, map_batches, parallelism, range_bounds, range_of
+from termloom.session import new_path, small_batches, stage
 
 END = 0
 BLOCK_IDS = 1 << 18
@@ -172,9 +172,11 @@ def id_counts(tokens: DataFrame) -> np.ndarray:
                 total[: len(one)] += one
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+        give_back_memory()
 
     found = tokens.select("ids", "wide").mapInArrow(partial, "id bigint, n bigint")
-    rows = found.groupBy("id").agg(F.sum("n").alias("n")).collect()
+    with small_batches(tokens.sparkSession):
+        rows = found.groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in rows), default=0) + 1, dtype=np.int64)
     counts[[r["id"] for r in rows]] = [r["n"] for r in rows]
     return counts
@@ -227,10 +229,12 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, text: str = "text") ->
                 n += len(ids)
         if held:
             yield done()
+        give_back_memory()
 
     slim = parted.select("part", "doc_id", "wide", "ids")
     ordered = slim.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id")
-    ordered.mapInArrow(encode, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    with small_batches(spark):
+        ordered.mapInArrow(encode, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
     lengths = [(int(i), int(code.lengths[i])) for i in np.flatnonzero(code.lengths)]
     spark.createDataFrame(lengths or [(0, 1)], "id int, bits int").coalesce(1).write.parquet(f"{path}/code")
 
@@ -249,9 +253,8 @@ def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         code = codes.setdefault("code", Code.of(shared.value))
-        for start, doc_ids, sizes, bits, checkpoints in zip(
-            *(batch.column(k).to_pylist() for k in range(5)), strict=True
-        ):
+        for row in range(len(batch)):  # a block is large: one at a time leaves Arrow
+            start, doc_ids, sizes, bits, checkpoints = (batch.column(k)[row].as_py() for k in range(5))
             sizes = np.array(sizes, dtype=np.int64)
             ids = code.decode(bits, checkpoints, int(sizes.sum())).astype("<u4")
             ends = np.cumsum(sizes)

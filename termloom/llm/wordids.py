@@ -143,7 +143,7 @@ class UnitTable:
         if 2 * self.units > len(self.keys):
             old = self.keys != 0
             known = self.keys[old], self.at[old], self.n[old]
-            self._resize(int(4 * self.units).bit_length())
+            self._resize(int(2 * self.units).bit_length())
             self._place(*known)
         self._place(keys, at, n)
 
