@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.llm.common import small_side
 from termloom.session import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -176,14 +177,25 @@ def mix(
     a source of its own, the last.  Extra columns are ignored.  An empty table gives an
     empty result.
     """
-    sized = stage(
-        docs.select(
-            F.col("doc_id").cast("bigint").alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            word_count(F.col(text).cast("string")).alias("size"),
-        ),
-        "mix-sizes",
-    )
+    return _dealt(docs, weights, limit, text).drop("salts", "salt")
+
+
+def _sizes(text: str) -> list[Column]:
+    """(doc_id, source, size) of the rows of ``mix``."""
+    return [
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        word_count(F.col(text).cast("string")).alias("size"),
+    ]
+
+
+def _salt(ident: Column, salts: Column) -> Column:
+    return F.pmod(F.xxhash64(ident, F.lit(3)), salts)
+
+
+def _dealt(docs: DataFrame, weights: tuple, limit: int, text: str) -> DataFrame:
+    """The rows of ``mix``, and of how many parts of their source and size they are in which."""
+    sized = stage(docs.select(*_sizes(text)), "mix-sizes")
     counts = stage(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
     totals = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = stage(source_targets(totals, weights, limit), "mix-targets")
@@ -191,8 +203,8 @@ def mix(
     # The quota of a (source, size) is dealt to salted parts of it, then to documents.
     salts = F.ceil(F.col("n") / PART_ROWS)
     salted = sized.join(quota, _same(sized, quota, "source", "size")).select(
-        "doc_id", sized["source"], sized["size"], "n", "copies",
-        F.pmod(F.xxhash64("doc_id", F.lit(3)), salts).alias("salt"),
+        "doc_id", sized["source"], sized["size"], "n", "copies", salts.alias("salts"),
+        _salt(F.col("doc_id"), salts).alias("salt"),
     )
     parts = salted.groupBy("source", "size", "salt", "n", "copies").agg(F.count("*").alias("m"))
     by_salt = Window.partitionBy("source", "size").orderBy("salt")
@@ -216,9 +228,55 @@ def mix(
     )
     ranked = salted.withColumn("rank", rank)
     dealt = ranked.join(parts, _same(ranked, parts, "source", "size", "salt")).select(
-        "doc_id", ranked["source"], ranked["size"],
+        "doc_id", ranked["source"], ranked["size"], "salts", ranked["salt"],
         (F.col("base") + F.when(F.col("rank") <= F.col("more"), 1).otherwise(0)).alias("copies"),
     )
     return dealt.join(targets, _same(dealt, targets, "source")).select(
-        "doc_id", dealt["source"], "size", "source_size", "target", "copies"
+        "doc_id", dealt["source"], "size", "source_size", "target", "copies", "salts", "salt"
     )
+
+
+def repeats(
+    docs: DataFrame, times: str, weights: tuple = WEIGHTS, limit: int = LIMIT, text: str = "text"
+) -> DataFrame:
+    """``docs`` and a column ``times``: how often ``mix`` takes the row.
+
+    Rows that share an id, or have none, get the most that one of them is taken.  The rows do
+    not move: of a part of a source and size those up to one hash and id are taken once more
+    than the others, so a row for each part says it all, and one for each id whose rows are
+    not taken alike.  Both tables are sent to all tasks while they are short, and joined else.
+    ``times`` must be longer than any name in ``docs``.
+    """
+    dealt = stage(_dealt(docs, weights, limit, text), "mix-dealt")
+    order = F.xxhash64("doc_id")
+    last = F.max(F.struct("copies", order.alias("hash"), "doc_id"))
+    parts = dealt.groupBy("source", "size", "salt").agg(F.min("copies").alias("least"), last.alias("last"))
+    several = dealt.filter("salts > 1").select("source", "size", "salts").distinct()
+    uneven = dealt.groupBy("doc_id").agg(F.max("copies").alias("most"), F.min("copies").alias("least"))
+    uneven = uneven.filter("least < most").select("doc_id", "most")
+
+    def beside(rows: DataFrame, table: DataFrame, how: str, **keys: Column) -> DataFrame:
+        """Joined by keys that may be null, under names that ``docs`` does not have."""
+        table = small_side(table.toDF(*[times + c for c in table.columns]))
+        match = F.lit(True)
+        for name, key in keys.items():
+            match = match & key.eqNullSafe(table[times + name])
+        return rows.join(table, match, how)
+
+    def own(name: str) -> Column:
+        return F.col(times + name)
+
+    rows = docs.select("*", *[c.alias(times + n) for n, c in zip(("i", "s", "n"), _sizes(text), strict=True)])
+    by = {"source": own("s"), "size": own("n")}
+    rows = beside(rows, stage(several, "mix-several"), "left", **by)
+    salt = _salt(own("i"), F.coalesce(own("salts"), F.lit(1)))
+    rows = rows.withColumn(times + "k", salt)
+    rows = beside(rows.drop(*[times + c for c in several.columns]), stage(parts, "mix-last"), "inner", **by, salt=own("k"))
+    top, here = own("last"), F.xxhash64(own("i"))
+    # Ids ascend within a hash, null first.
+    upto = F.coalesce(own("i") <= top["doc_id"], own("i").isNull())
+    upto = (here < top["hash"]) | ((here == top["hash"]) & upto)
+    taken = F.when(upto, top["copies"]).otherwise(own("least"))
+    rows = rows.select(*docs.columns, own("i"), taken.alias(times + "t"))
+    rows = beside(rows, stage(uneven, "mix-uneven"), "left", doc_id=own("i"))
+    return rows.select(*docs.columns, F.coalesce(own("most"), own("t")).alias(times))

@@ -57,10 +57,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that share an id, or have none, are taken equally often: as often as the one of
     them that is taken most.  Documents without words are taken once.
     """
-    ident, times, turn = _spare(docs, "id", "times", "turn")
-    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias(ident)).agg(F.max("copies").alias(times))
-    copies = stage(copies.filter(F.col(times) > 0), "mix-chosen")
-    chosen = docs.join(copies, docs["doc_id"].eqNullSafe(copies[ident]))
+    times, turn = _spare(docs, "times", "turn")
+    chosen = mixing.repeats(docs, times).filter(F.col(times) > 0)
     repeated = F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))
     return chosen.withColumn(turn, repeated).select(*docs.columns)
 
