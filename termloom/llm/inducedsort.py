@@ -237,15 +237,17 @@ class InducedSort:
         falling, _ = self.passes(loose, np.zeros(len(loose), dtype=np.uint8))
         self.carried = True
         pieces = falling[self.star[falling]][::-1]
-        following = stars[np.searchsorted(stars, pieces) + 1]
+        place = np.zeros(len(self.text), dtype=np.int64)
+        place[stars] = np.arange(len(stars))
+        where = place[pieces]
+        following = stars[where + 1]
         content = mix(hashes(sums, pieces, following + 1) ^ (following - pieces).astype(np.uint64))
         new = np.append(True, content[1:] != content[:-1])
         first = np.flatnonzero(new)
         # A rank is the place of the first of its equals: separators come first, each alone.
         rank = np.zeros(len(stars), dtype=np.int64)
-        where = np.searchsorted(stars, pieces)
         rank[where] = len(ends) + first[np.cumsum(new) - 1]
-        rank[np.searchsorted(stars, ends)] = np.arange(len(ends))
+        rank[place[ends]] = np.arange(len(ends))
         return stars[self._refine(rank)]
 
     def _refine(self, rank: np.ndarray) -> np.ndarray:
@@ -257,7 +259,7 @@ class InducedSort:
             if not len(open_):
                 break
             after = rank[np.minimum(open_ + step, m - 1)]
-            order = np.lexsort((after, rank[open_]))
+            order = np.argsort(rank[open_] * m + after)  # in one number: both are below m
             open_, after = open_[order], after[order]
             base = rank[open_]
             group = np.append(True, base[1:] != base[:-1])

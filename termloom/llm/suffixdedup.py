@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ SPAN = 50
 GRAM = 20
 #: Text of one shard: the sort keeps some hundred bytes a byte in numpy arrays.
 SHARD_BYTES = 1_500_000
+#: Shards of snippets that one task is dealt, before those that need no sort are left out.
+DEALT_SHARDS = 1.5
 #: Shared pieces that tasks may hold as a sorted array; more of them are joined.
 MAX_SHARED = 4_000_000
 #: Groups of pieces whose bytes are summed first, to find those that hold an oversized piece.
@@ -143,6 +146,34 @@ def snippets(texts: DataFrame, shared: DataFrame, span: int, gram: int) -> DataF
     return rows if few else rows.join(shared.select("piece"), "piece", "left_semi")
 
 
+def _contested(found: pa.Table) -> Iterator[pa.Table]:
+    """Shards of the rows whose piece has snippets of several smallest ids, piece by piece.
+
+    All strings with a sampled piece are in snippets of that piece, so one whose snippets
+    have one smallest id has no string that an earlier document has too.
+    """
+    piece = np.asarray(found.column("piece"), dtype=np.int64)
+    order = np.argsort(piece, kind="stable")
+    ids, piece = np.asarray(found.column("doc_id"), dtype=np.int64)[order], piece[order]
+    first = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+    several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first)
+    rows = np.diff(np.append(first, len(piece)))
+    order, rows = order[np.repeat(several, rows)], rows[several]
+    if not len(order):
+        return
+    found = found.take(pa.array(order))
+    sizes = np.asarray(pc.binary_length(found.column("snippet")), dtype=np.int64)
+    ends = np.cumsum(rows)
+    upto = np.cumsum(sizes)[ends - 1]  # bytes up to the end of each piece
+    shards = -(-int(upto[-1]) // SHARD_BYTES)
+    cuts = np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards) if shards > 1 else []
+    at = 0
+    for end in [*ends[np.asarray(cuts, dtype=np.int64)].tolist(), len(order)]:
+        if end > at:
+            yield found.slice(at, end - at)
+        at = end
+
+
 def earlier_parts(different: DataFrame, shards: int, span: int) -> DataFrame:
     """(piece, snippet_key, lows, highs): where smaller ids have a snippet's strings.
 
@@ -151,15 +182,16 @@ def earlier_parts(different: DataFrame, shards: int, span: int) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, of_piece, keys, ids = [], [], [], []
-        for batch in batches:
-            of_piece.append(np.asarray(batch.column(0), dtype=np.int64))
-            raw += batch.column(1).to_pylist()
-            keys.append(np.asarray(batch.column(2), dtype=np.int64))
-            ids.append(np.asarray(batch.column(3), dtype=np.int64))
-        if not raw:
-            return
-        of_piece, keys, ids = np.concatenate(of_piece), np.concatenate(keys), np.concatenate(ids)
+        batches = [batch for batch in batches if len(batch)]
+        if batches:
+            for shard in _contested(pa.Table.from_batches(batches)):
+                yield from sort(shard)
+
+    def sort(shard: pa.Table) -> Iterator[pa.RecordBatch]:
+        raw = shard.column("snippet").to_pylist()
+        of_piece, keys, ids = (
+            np.asarray(shard.column(name), dtype=np.int64) for name in (*KEYS, "doc_id")
+        )
         sizes = np.array([len(s) for s in raw], dtype=np.int64) + 1
         ends = np.cumsum(sizes)
         data = np.frombuffer(b"\0".join(raw) + b"\0", dtype=np.uint8)
@@ -246,7 +278,7 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     different = rows.groupBy("piece", "snippet", "snippet_key").agg(F.min("doc_id").alias("doc_id"))
     different = stage(different, "suffix-different")
     large, size = oversized(different)
-    shards = size // SHARD_BYTES + 1
+    shards = int(size / (SHARD_BYTES * DEALT_SHARDS)) + 1
     if large is None:
         earlier = earlier_parts(different, shards, span)
     else:
