@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from termloom.llm.common import (
     span_hashes,
 )
 from termloom.llm.inducedsort import sorted_suffixes
-from termloom.session import stage
+from termloom.session import delete_path, dropped_shuffles, stage, stage_outside, stage_parts, staging
 
 SPAN = 50
 GRAM = 20
@@ -42,8 +43,16 @@ GRAM = 20
 SHARD_BYTES = 1_500_000
 #: Shards of snippets that one task is dealt, before those that need no sort are left out.
 DEALT_SHARDS = 1.5
-#: Shared pieces that tasks may hold as a sorted array; more of them are joined.
-MAX_SHARED = 4_000_000
+#: Shared pieces that tasks may hold as a table of bits; more of them are joined.
+MAX_SHARED = 40_000_000
+#: Bits of that table for each shared piece, the bits a piece marks, and the bits of a block.
+SIEVE_BITS = 12
+SIEVE_MARKS = 4
+SIEVE_BLOCK = 1 << 16
+#: Parts that snippets are worked on one after the other, so that the shuffles and tables of one
+#: lie on disk at a time; fewer where a part would have less than so many shared pieces.
+PARTS = 8
+PART_PIECES = 1_000_000
 #: Groups of pieces whose bytes are summed first, to find those that hold an oversized piece.
 BUCKETS = 1 << 16
 #: What tells snippets apart in joins: two hashes of 64 bits, of a piece and of all bytes.
@@ -110,25 +119,70 @@ def piece_counts(texts: DataFrame, span: int, gram: int) -> DataFrame:
     return found.groupBy("piece").agg(F.count("*").alias("n"))
 
 
-def snippets(texts: DataFrame, shared: DataFrame, span: int, gram: int) -> DataFrame:
-    """(piece, doc_id, text_key, start, snippet): the runs whose piece is in ``shared``."""
+def _marks(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The block of each piece and its bits there.  Pieces are least hashes, so mixed again."""
+    bits = mix(hashes ^ BASE_INVERSE)
+    marks = [(bits >> np.uint64(16 * k)) % np.uint64(SIEVE_BLOCK) for k in range(SIEVE_MARKS)]
+    return (mix(bits) % np.uint64(blocks)).astype(np.int64), [at.astype(np.int64) for at in marks]
+
+
+def sieve(shared: DataFrame, n: int) -> np.ndarray:
+    """A table of bits (blocks, bytes) that knows all ``n`` pieces of ``shared`` and few others."""
+    blocks = n * SIEVE_BITS // SIEVE_BLOCK + 1
+
+    def deal(batch: pa.RecordBatch) -> Iterator[dict]:
+        hashes = np.asarray(batch.column(0), dtype=np.int64).view(np.uint64)
+        yield {"block": _marks(hashes, blocks)[0], "piece": batch.column(0)}
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, held = np.full(blocks, -1), np.zeros((0, SIEVE_BLOCK), dtype=bool)
+        for batch in batches:
+            block, marks = _marks(np.asarray(batch.column(1), dtype=np.int64).view(np.uint64), blocks)
+            new = np.unique(block[places[block] < 0])
+            if len(new):
+                places[new] = len(held) + np.arange(len(new))
+                held = np.concatenate([held, np.zeros((len(new), SIEVE_BLOCK), dtype=bool)])
+            for at in marks:
+                held[places[block], at] = True
+        for b in np.flatnonzero(places >= 0).tolist():
+            bits = np.packbits(held[places[b]], bitorder="little").tobytes()
+            yield pa.RecordBatch.from_pydict({"block": pa.array([b], pa.int64()), "bits": pa.array([bits])})
+
+    with dropped_shuffles(shared.sparkSession):
+        dealt = map_batches(shared.select("piece"), "block bigint, piece bigint", deal)
+        parts = dealt.repartition(blocks // 128 + 1, "block").mapInArrow(fill, "block bigint, bits binary").toArrow()
+    table = np.zeros((blocks, SIEVE_BLOCK // 8), dtype=np.uint8)
+    for chunk in parts.to_batches():  # at most a row a block
+        for b, bits in zip(chunk.column(0).to_pylist(), chunk.column(1), strict=True):
+            table[b] = np.frombuffer(bits.as_buffer(), dtype=np.uint8)
+    return table
+
+
+def passed(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the pieces that a sieve may know; none that it does is missing."""
+    block, marks = _marks(hashes, len(table))
+    alive = np.arange(len(hashes))
+    for at in marks:
+        alive = alive[(table[block[alive], at[alive] >> 3] >> (at[alive] & 7).astype(np.uint8)) & 1 > 0]
+    return alive
+
+
+def snippets(texts: DataFrame, shared: DataFrame, n: int, span: int, gram: int) -> DataFrame:
+    """(piece, doc_id, text_key, start, snippet): the runs whose piece is one of the ``n`` in ``shared``.
+
+    With up to ``MAX_SHARED`` pieces tasks tell them by a sieve, which lets a few others pass: those
+    are of one text, so nothing is taken from their snippets.
+    """
+    if n > MAX_SHARED:
+        return joined_snippets(texts, shared, span, gram)
     spark = texts.sparkSession
-    few = shared.limit(MAX_SHARED + 1).count() <= MAX_SHARED
-    held = None
-    if few:
-        found = shared.toArrow().column("piece").combine_chunks()  # at most MAX_SHARED numbers
-        held = spark.sparkContext.broadcast(np.sort(np.asarray(found, dtype=np.int64).view(np.uint64)))
+    held = spark.sparkContext.broadcast(sieve(shared, n))
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         for first, end, data, offsets in pieces(batch.column(2)):
             low, stop, hashes = sampled(data, offsets, span, gram)
-            if held is not None:
-                known = held.value
-                if not len(known) or not len(low):
-                    continue
-                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                keep = known[at] == hashes
-                low, stop, hashes = low[keep], stop[keep], hashes[keep]
+            keep = passed(held.value, hashes)
+            low, stop, hashes = low[keep], stop[keep], hashes[keep]
             row = _of_rows(low, offsets)
             high = stop - 1 + span
             raw = data.tobytes()
@@ -142,8 +196,36 @@ def snippets(texts: DataFrame, shared: DataFrame, span: int, gram: int) -> DataF
             }
 
     schema = "piece bigint, doc_id bigint, text_key bigint, start bigint, snippet binary"
-    rows = map_batches(texts.select("doc_id", "text_key", "text"), schema, work)
-    return rows if few else rows.join(shared.select("piece"), "piece", "left_semi")
+    return map_batches(texts.select("doc_id", "text_key", "text"), schema, work)
+
+
+def joined_snippets(texts: DataFrame, shared: DataFrame, span: int, gram: int) -> DataFrame:
+    """``snippets`` for any number of pieces: places meet the pieces, then the texts they are cut from.
+
+    Bytes move once, as texts; the runs of pieces that are not shared move without theirs.
+    """
+
+    def work(batch: pa.RecordBatch) -> Iterator[dict]:
+        for first, end, data, offsets in pieces(batch.column(2)):
+            low, stop, hashes = sampled(data, offsets, span, gram)
+            row = _of_rows(low, offsets)
+            take = pa.array(row)
+            yield {
+                "piece": hashes.view(np.int64),
+                "doc_id": batch.column(0).slice(first, end - first).take(take),
+                "text_key": batch.column(1).slice(first, end - first).take(take),
+                "start": low - offsets[row],
+                "n": stop - 1 + span - low,
+            }
+
+    schema = "piece bigint, doc_id bigint, text_key bigint, start bigint, n bigint"
+    runs = map_batches(texts.select("doc_id", "text_key", "text"), schema, work)
+    runs = stage(runs.join(shared.select("piece"), "piece", "left_semi"), "suffix-runs")
+    of_text = runs.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("piece", "start", "n")).alias("runs"))
+    cut = texts.select("doc_id", "text_key", "text").join(of_text, ["doc_id", "text_key"])
+    cut = cut.select("doc_id", "text_key", "text", F.explode("runs").alias("run"))
+    snippet = F.substring("text", (F.col("run.start") + 1).cast("int"), F.col("run.n").cast("int"))
+    return cut.select("run.piece", "doc_id", "text_key", "run.start", snippet.alias("snippet"))
 
 
 def _contested(found: pa.Table) -> Iterator[pa.Table]:
@@ -267,14 +349,36 @@ def earlier_strings(different: DataFrame, span: int) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """(doc_id, text_key, lows, highs): byte ranges of each text that go, not yet merged.
+    """A table (doc_id, text_key, lows, highs): byte ranges of each text that go, not yet merged.
 
     ``texts`` is (doc_id, text_key, text), without null ids and with no two rows of equal
-    text and id.
+    text and id.  The tables on the way are deleted.
+    """
+    spark = texts.sparkSession
+    with dropped_shuffles(spark), staging(spark):
+        shared = stage(piece_counts(texts, span, gram).filter("n > 1").select("piece"), "suffix-pieces")
+        n = shared.count()
+        parts = min(PARTS, n // PART_PIECES + 1)
+        rows = snippets(texts, shared, n, span, gram).select(
+            "*", F.xxhash64("snippet").alias("snippet_key"), F.octet_length("snippet").alias("n")
+        )
+        marked = []
+        # All with a piece is in one part, so parts know nothing of each other.
+        for part, path in stage_parts(rows, "suffix-snippets", F.pmod("piece", F.lit(parts)).cast("int"), parts):
+            with staging(spark):
+                marked.append(stage_outside(marked_parts(part, span), "suffix-marked"))
+            delete_path(spark, path)
+        spans = reduce(DataFrame.union, marked).groupBy("doc_id", "text_key").agg(
+            F.flatten(F.collect_list("lows")).alias("lows"), F.flatten(F.collect_list("highs")).alias("highs")
+        )
+        return stage_outside(spans, "suffix-spans")
+
+
+def marked_parts(rows: DataFrame, span: int) -> DataFrame:
+    """(doc_id, text_key, lows, highs): what goes of each snippet, as byte ranges of its text.
+
+    ``rows`` is a table of ``snippets`` with their keys and sizes, with all or none of a piece.
     """
-    shared = stage(piece_counts(texts, span, gram).filter("n > 1").select("piece"), "suffix-pieces")
-    rows = snippets(texts, shared, span, gram).withColumn("snippet_key", F.xxhash64("snippet"))
-    rows = stage(rows, "suffix-snippets")
     different = rows.groupBy("piece", "snippet", "snippet_key").agg(F.min("doc_id").alias("doc_id"))
     different = stage(different, "suffix-different")
     large, size = oversized(different)
@@ -289,7 +393,7 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     earlier = stage(earlier, "suffix-earlier")
     owners = different.select(*KEYS, F.col("doc_id").alias("owner"))
     found = owners.join(earlier, KEYS, "left")
-    slim = rows.select("doc_id", "text_key", "start", *KEYS, F.octet_length("snippet").alias("n"))
+    slim = rows.select("doc_id", "text_key", "start", *KEYS, "n")
     # All of a snippet goes where it is not the first; of the first, what others have had.
     marked = slim.join(found, KEYS).filter("n >= %d and (doc_id > owner or lows is not null)" % span)
     later = F.col("doc_id") > F.col("owner")
@@ -297,9 +401,7 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     highs = F.when(later, F.array(F.col("start") + F.col("n"))).otherwise(
         F.transform("highs", lambda x: x + F.col("start") + (span - 1))
     )
-    return marked.select("doc_id", "text_key", lows.alias("lows"), highs.alias("highs")).groupBy(
-        "doc_id", "text_key"
-    ).agg(F.flatten(F.collect_list("lows")).alias("lows"), F.flatten(F.collect_list("highs")).alias("highs"))
+    return marked.select("doc_id", "text_key", lows.alias("lows"), highs.alias("highs"))
 
 
 def merge_spans(lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,14 +422,15 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     raw = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), raw.alias("text"))
     slim = slim.withColumn("text_key", F.xxhash64("text"))
-    nodes = stage(slim.select("doc_id", "text_key", F.md5("text").alias("whole")), "suffix-texts")
-    firsts = nodes.filter("doc_id is not null").groupBy("whole").agg(F.min("doc_id").alias("first"))
-    copies = nodes.join(firsts, "whole").filter("doc_id > first").select("doc_id", "text_key")
-    copies = stage(copies.distinct(), "suffix-copies")
+    with dropped_shuffles(docs.sparkSession):
+        nodes = stage(slim.select("doc_id", "text_key", F.md5("text").alias("whole")), "suffix-texts")
+        firsts = nodes.filter("doc_id is not null").groupBy("whole").agg(F.min("doc_id").alias("first"))
+        copies = nodes.join(firsts, "whole").filter("doc_id > first").select("doc_id", "text_key")
+        copies = stage(copies.distinct(), "suffix-copies")
     copied = small_side(copies.withColumn("copied", F.lit(True)))
     keyed = slim.filter(F.octet_length("text") >= span)
     texts = keyed.filter("doc_id is not null").join(copied, ["doc_id", "text_key"], "left_anti")
-    spans = stage(repeated_spans(texts, span, gram), "suffix-spans")
+    spans = repeated_spans(texts, span, gram)
     whose = small_side(spans.select("doc_id", "text_key"))
     none = F.array().cast("array<bigint>")
     gone = F.col("copied").isNotNull() & (F.octet_length("text") >= span)
